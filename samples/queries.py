@@ -12,9 +12,8 @@ from samples.relations import Relations
 from wardline.constants import CATALOG, SCHEMA, TABLE
 from wardline.functions import cipher, names, routine_rules
 from wardline.operators import entitlements, grants, securables
-from wardline.plans import audit, protection, reports, tagging
+from wardline.plans import audit, principals, protection, reports, tagging
 from wardline.session import scratch_folder
-from wardline.sinks.tables import append_audit, save
 from wardline.sources import payloads as landed
 from wardline.sources import tables as saved
 from wardline.sources.lookup import privilege_lookup
@@ -199,8 +198,8 @@ def audit_mark_removed(spark, r):
 def sink_append(spark, r):
     """Two audit runs appended to one stored history."""
     target = scratch_folder(spark, "audit")
-    append_audit(audit.routine_audit(r["routines"], at(FIRST_RUN)), target)
-    append_audit(audit.routine_audit(r["routines"], at(SECOND_RUN)), target)
+    for run in (FIRST_RUN, SECOND_RUN):
+        audit.record_audit(r["routines"], target, at(run))
     return comparable(saved.read_saved(spark, target))
 
 
@@ -310,9 +309,12 @@ def principal_report(spark, r):
 def sink_overwrite(spark, r):
     """The access table written twice: the second write replaces the first."""
     target = scratch_folder(spark, "access")
-    users, groups = identities(r)
-    save(entitlements.principal_access(users, groups, keep_uninherited=True), target, "overwrite")
-    save(entitlements.principal_access(users, groups), target, "overwrite")
+    users, groups = payloads.user_payloads(r), payloads.group_payloads(r)
+    for keep_uninherited in (True, False):
+        staging = scratch_folder(spark, "identities")
+        principals.refresh_access_table(
+            spark, users, groups, staging, target, keep_uninherited=keep_uninherited
+        )
     return saved.read_saved(spark, target)
 
 

@@ -85,31 +85,37 @@ SELECT r_name AS routine_catalog, n_name AS routine_schema, {_ROUTINE_NAME} AS r
   'team_' || CAST(quality AS VARCHAR(20)) AS grantee, 'admin' AS grantor,
   CASE WHEN toxic = 1 THEN 'ALL_PRIVILEGES' ELSE 'EXECUTE' END AS privilege_type
 FROM {{labels}} JOIN {_LOCATED_NATION} ON n_nationkey = doc_id % 25""",
+    # The latest time of each kind of event of each user, so that no later step depends on how
+    # many events a user has.
+    "activity": """
+SELECT user_id, event_type, value < 50 AS usual, max(ts) AS ts
+FROM {events} GROUP BY user_id, event_type, value < 50""",
     # Tag observations: what is stored, and what a later scan finds. Customers, nations and
     # regions missing on either side, and times that run both ways, give every merge outcome.
     "stored_observations": f"""
 SELECT {_TABLE_NAME} AS identifier, event_type AS tag,
   CASE WHEN event_type IN ('error', 'purchase') THEN ts - INTERVAL '30' DAY ELSE ts END AS ts
-FROM {{events}}
+FROM {{activity}}
   JOIN {{customer}} ON c_custkey = user_id - CASE WHEN user_id % 4 = 1 THEN 1 ELSE 0 END
   JOIN {_LOCATED_NATION} ON c_nationkey = n_nationkey
 UNION ALL
 SELECT r_name || '.' || n_name, event_type, ts
-FROM {{events}} JOIN {_LOCATED_NATION} ON n_nationkey = user_id % 13 * 2
+FROM {{activity}} JOIN {_LOCATED_NATION} ON n_nationkey = user_id % 13 * 2
 UNION ALL
-SELECT r_name, event_type, ts FROM {{events}} JOIN {{region}} ON r_regionkey = user_id % 5""",
+SELECT r_name, event_type, ts FROM {{activity}} JOIN {{region}} ON r_regionkey = user_id % 5""",
     "scanned_observations": f"""
 SELECT {_TABLE_NAME} AS identifier,
-  CASE WHEN value < 50 THEN event_type ELSE 'big_' || event_type END AS tag,
+  CASE WHEN usual THEN event_type ELSE 'big_' || event_type END AS tag,
   CASE WHEN event_type IN ('view', 'click') THEN ts - INTERVAL '30' DAY ELSE ts END AS ts
-FROM {{events}}
+FROM {{activity}}
   JOIN {{customer}} ON c_custkey = user_id + CASE WHEN user_id % 4 = 2 THEN 1 ELSE 0 END
   JOIN {_LOCATED_NATION} ON c_nationkey = n_nationkey
 UNION ALL
 SELECT r_name || '.' || n_name, event_type || '_seen', ts
-FROM {{events}} JOIN {_LOCATED_NATION} ON n_nationkey = user_id % 8 * 3
+FROM {{activity}} JOIN {_LOCATED_NATION} ON n_nationkey = user_id % 8 * 3
 UNION ALL
-SELECT r_name, event_type || '_seen', ts FROM {{events}} JOIN {{region}} ON r_regionkey = user_id % 4""",
+SELECT r_name, event_type || '_seen', ts
+FROM {{activity}} JOIN {{region}} ON r_regionkey = user_id % 4""",
     "securables": """
 SELECT catalog_name AS identifier FROM {catalogs}
 UNION ALL SELECT catalog_name || '.' || schema_name FROM {schemata}

@@ -37,7 +37,7 @@ def function_validity(
         return F.when(text.isNotNull(), F.lit(VALID_FUNCTION))
     flag = "(?iu)" if ignore_case else ""
     found = text.rlike(rf"{flag}(?<!{WORD})(?:{names})(?!{WORD})")
-    return F.when(found, F.lit(INVALID_FUNCTION)).when(~found, F.lit(VALID_FUNCTION))
+    return F.when(found, F.lit(INVALID_FUNCTION)).when(text.isNotNull(), F.lit(VALID_FUNCTION))
 
 
 def secret_validity(

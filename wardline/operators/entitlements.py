@@ -10,19 +10,15 @@ def inherited_entitlements(users: DataFrame, groups: DataFrame) -> DataFrame:
     """``(userId, inherited_entitlements)`` of the users who inherit any.
 
     Membership is a join, so a group with very many members is split like any hot key. The
-    pairs are made distinct before the sets are built: a set holds distinct entitlements only,
-    however many groups pass them on.
+    sets are built on the map side first and hold distinct entitlements only, however many
+    groups pass them on.
     """
     memberships = users.select(
         "userId", F.explode(F.array_distinct("groups")).alias("__group")
     )
     passed_on = groups.select("displayName", F.explode("entitlements").alias("value")).distinct()
-    inherited = (
-        memberships.join(
-            passed_on, memberships["__group"].eqNullSafe(passed_on["displayName"]), "inner"
-        )
-        .select("userId", "value")
-        .distinct()
+    inherited = memberships.join(
+        passed_on, memberships["__group"].eqNullSafe(passed_on["displayName"]), "inner"
     )
     # A set of structs keeps an entitlement without a name, which a set of strings would lose.
     return (

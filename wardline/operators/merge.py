@@ -26,6 +26,10 @@ def _always(target: Accessor, source: Accessor) -> Column:
     return F.lit(True)
 
 
+def _of_source(name: str) -> Column:
+    return F.col(f"__value_{name}")
+
+
 def _target_keys(keys: Keys) -> dict[str, Column]:
     return {
         f"__target_{name}": F.col(value) if isinstance(value, str) else value
@@ -33,37 +37,30 @@ def _target_keys(keys: Keys) -> dict[str, Column]:
     }
 
 
-def _pairs(keys: Keys) -> dict[str, str]:
+def _key_pairs(keys: Keys) -> dict[str, str]:
     return {f"__target_{name}": f"__source_{name}" for name in keys}
 
 
-def _with_match(target: DataFrame, source: DataFrame, keys: Keys, check: bool) -> DataFrame:
-    """Target rows with ``__matches``, the number of source rows of their key (NULL if none),
-    and ``__source``, one such row.
+def _with_match(target: DataFrame, source: DataFrame, keys: Keys) -> DataFrame:
+    """Target rows with the number of source rows of their key (NULL if none) and its values.
 
     The source is reduced to one row per key before the join, on the map side first, so that
-    neither a hot source key nor the check for it gathers rows in one task.
+    neither a hot source key nor the check for it gathers rows in one task. Values nobody asks
+    for are dropped before that by the optimizer.
     """
     by_key = (
         source.filter(not_null(keys))
         .groupBy(*[F.col(name).alias(f"__source_{name}") for name in keys])
         .agg(
             F.count(F.lit(1)).alias("__matches"),
-            F.any_value(F.struct(*source.columns)).alias("__source"),
+            *[F.any_value(name).alias(f"__value_{name}") for name in source.columns],
         )
     )
     keyed = target.withColumns(_target_keys(keys))
-    joined = keyed.join(by_key, null_safe(keyed, by_key, _pairs(keys)), "left")
-    if check:
-        too_many = F.raise_error(F.lit("a target row matches more than one source row"))
-        joined = joined.filter(
-            F.when(F.col("__matches") > 1, too_many.cast("boolean")).otherwise(F.lit(True))
-        )
-    return joined
-
-
-def _accessors() -> tuple[Accessor, Accessor]:
-    return F.col, lambda name: F.col("__source")[name]
+    too_many = F.raise_error(F.lit("a target row matches more than one source row"))
+    return keyed.join(by_key, null_safe(keyed, by_key, _key_pairs(keys)), "left").filter(
+        F.when(F.col("__matches") > 1, too_many.cast("boolean")).otherwise(F.lit(True))
+    )
 
 
 def merge_update(
@@ -72,14 +69,12 @@ def merge_update(
     keys: Keys,
     set_columns: Mapping[str, str],
     when: Condition = _always,
-    check: bool = True,
 ) -> DataFrame:
     """Every target row; where the source has its key and ``when`` holds, with new values."""
-    of_target, of_source = _accessors()
-    applies = F.col("__matches").isNotNull() & when(of_target, of_source)
-    return _with_match(target, source, keys, check).select(
+    applies = F.col("__matches").isNotNull() & when(F.col, _of_source)
+    return _with_match(target, source, keys).select(
         *[
-            F.when(applies, of_source(set_columns[name])).otherwise(F.col(name)).alias(name)
+            F.when(applies, _of_source(set_columns[name])).otherwise(F.col(name)).alias(name)
             if name in set_columns
             else F.col(name)
             for name in target.columns
@@ -93,7 +88,6 @@ def _unmatched_source(target: DataFrame, source: DataFrame, keys: Keys) -> DataF
     The target's keys are first narrowed to those the source has. A small source is thereby
     broadcast and the target is not shuffled at all.
     """
-    pairs = _pairs(keys)
     target_keys = target.select(*[c.alias(name) for name, c in _target_keys(keys).items()])
     source_keys = (
         source.filter(not_null(keys))
@@ -101,11 +95,10 @@ def _unmatched_source(target: DataFrame, source: DataFrame, keys: Keys) -> DataF
         .distinct()
     )
     matched = target_keys.join(
-        source_keys, null_safe(target_keys, source_keys, pairs), "left_semi"
+        source_keys, null_safe(target_keys, source_keys, _key_pairs(keys)), "left_semi"
     ).distinct()
-    return source.join(
-        matched, null_safe(source, matched, {n: f"__target_{n}" for n in keys}), "left_anti"
-    )
+    own_keys = {name: f"__target_{name}" for name in keys}
+    return source.join(matched, null_safe(source, matched, own_keys), "left_anti")
 
 
 def merge_upsert(
@@ -114,25 +107,23 @@ def merge_upsert(
     keys: Keys,
     set_columns: Mapping[str, str],
     when: Condition = _always,
-    check: bool = True,
 ) -> DataFrame:
     """:func:`merge_update`, and whole source rows for the keys the target lacks."""
-    updated = merge_update(target, source, keys, set_columns, when, check)
+    updated = merge_update(target, source, keys, set_columns, when)
     inserted = _unmatched_source(target, source, keys).select(*target.columns)
     return updated.unionByName(inserted)
 
 
 def merge_outcome(
-    target: DataFrame, source: DataFrame, keys: Keys, when: Condition = _always, check: bool = True
+    target: DataFrame, source: DataFrame, keys: Keys, when: Condition = _always
 ) -> DataFrame:
     """What an upsert does, per row: the key and ``update``, ``stale``, ``keep`` or ``insert``."""
-    of_target, of_source = _accessors()
     outcome = (
         F.when(F.col("__matches").isNull(), F.lit("keep"))
-        .when(when(of_target, of_source), F.lit("update"))
+        .when(when(F.col, _of_source), F.lit("update"))
         .otherwise(F.lit("stale"))
     )
-    stored = _with_match(target, source, keys, check).select(
+    stored = _with_match(target, source, keys).select(
         *[F.col(f"__target_{name}").alias(name) for name in keys], outcome.alias("outcome")
     )
     new = _unmatched_source(target, source, keys).select(*keys, F.lit("insert").alias("outcome"))

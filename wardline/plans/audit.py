@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import schemas
@@ -19,7 +19,8 @@ from wardline.constants import (
 from wardline.functions.names import identifier, quoted_identifier
 from wardline.functions.routine_rules import function_validity, secret_validity
 from wardline.operators.merge import merge_update
-from wardline.sources.tables import routines_with_definition
+from wardline.sinks.tables import append_audit, publish_version
+from wardline.sources.tables import read_saved, routines_with_definition
 
 
 def routine_audit(
@@ -78,3 +79,19 @@ def mark_removed(audit: DataFrame, plan: DataFrame) -> DataFrame:
         keys={"toRemove": identifier(*schemas.ROUTINE_KEY), "markedAt": "markedAt"},
         set_columns={"status": "action"},
     )
+
+
+def record_audit(
+    routines: DataFrame, target: str, as_of: Column | None = None
+) -> None:
+    """One run of the audit, added to the stored history."""
+    append_audit(routine_audit(routines, as_of), target)
+
+
+def mark_removed_in_table(spark: SparkSession, table: str, folder: str) -> str:
+    """Mark every open invalid row of a stored audit, as the table's next version.
+
+    Run it once the statements of the :func:`removal_plan` have been carried out.
+    """
+    audit = read_saved(spark, table)
+    return publish_version(mark_removed(audit, removal_plan(audit)), table, folder)

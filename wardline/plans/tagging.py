@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import schemas
 from wardline.constants import TABLE
 from wardline.operators.merge import merge_outcome, merge_upsert
-from wardline.operators.securables import classify_securables, last_tagged_table
+from wardline.operators.securables import (
+    classify_securables,
+    enumerate_securables,
+    last_tagged_table,
+)
+from wardline.sinks.tables import publish_version, save
 from wardline.sources.payloads import parse_tag_payloads
+from wardline.sources.tables import read_saved
 
 MERGE_KEYS = {"identifier": "identifier"}
 
@@ -51,9 +60,7 @@ def _not_older(target, source) -> Column:
     return source("lastCheckedAt") >= target("lastCheckedAt")
 
 
-def merge_tags(
-    stored: DataFrame, collected: DataFrame, refresh_time: bool = False, check: bool = True
-) -> DataFrame:
+def merge_tags(stored: DataFrame, collected: DataFrame, refresh_time: bool = False) -> DataFrame:
     """New contents of the tag table.
 
     A known securable gets the collected tags unless they are older than the stored ones; its
@@ -64,10 +71,31 @@ def merge_tags(
     if refresh_time:
         set_columns["lastCheckedAt"] = "lastCheckedAt"
     return merge_upsert(
-        stored, collected.select(*schemas.TAGS.names), MERGE_KEYS, set_columns, _not_older, check
+        stored, collected.select(*schemas.TAGS.names), MERGE_KEYS, set_columns, _not_older
     )
 
 
 def merge_tags_outcome(stored: DataFrame, collected: DataFrame) -> DataFrame:
     """What :func:`merge_tags` does with each securable."""
     return merge_outcome(stored, collected, MERGE_KEYS, _not_older)
+
+
+def refresh_tag_table(
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    payloads: DataFrame,
+    metadata: Mapping[str, DataFrame],
+    as_of: Column | None = None,
+    refresh_time: bool = False,
+) -> str:
+    """One run of the tag job: collect, merge, and publish the tag table's next version.
+
+    The collected tags are written under ``folder`` first: the merge reads them twice, and all
+    its parts must see the same run time.
+    """
+    landed = f"{folder.rstrip('/')}/collected-{uuid.uuid4().hex}"
+    save(collect_tags(payloads, enumerate_securables(metadata), as_of), landed, "errorifexists")
+    collected = read_saved(spark, landed, schemas.TAGS)
+    merged = merge_tags(read_saved(spark, table), collected, refresh_time)
+    return publish_version(merged, table, folder)

@@ -26,12 +26,15 @@ def _field_list(array: str, field: str) -> Column:
 def parse_tag_payloads(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """``(identifier, status_code, payload)`` to ``(identifier, tags)`` of tagged securables.
 
-    Only successful answers are read, and of those only the first tag assignment.
+    Only successful answers are read, and of those only the first tag assignment. It is taken
+    out by exploding a list of at most one, since a filter on the parsed value itself would
+    make Spark parse every payload twice.
     """
-    tags = F.get(_parsed(schemas.TAG_PAYLOAD, mode)["tag_assignments"], F.lit(0))["tags"]
+    first = F.slice(_parsed(schemas.TAG_PAYLOAD, mode)["tag_assignments"], 1, 1)
     return (
         payloads.filter(F.col("status_code") == 200)
-        .select("identifier", tags.alias("tags"))
+        .select("identifier", F.explode(first).alias("assignment"))
+        .select("identifier", F.col("assignment.tags").alias("tags"))
         .filter(F.col("tags").isNotNull())
     )
 
@@ -42,22 +45,31 @@ def listed_resources(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     return pages.select(F.explode(resources).alias("payload"))
 
 
+def _records(payloads: DataFrame, schema: str, mode: str) -> DataFrame:
+    """One row per payload with the payload's fields as columns.
+
+    The record is taken out by a generator: conditions on its fields, such as those Spark
+    derives from a join, then stay above the parser instead of parsing once more below it.
+    """
+    return payloads.select(F.inline(F.array(_parsed(schema, mode))))
+
+
 def parse_users(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """One user per payload: names, group names and direct entitlements."""
-    return payloads.select(_parsed(schemas.USER_PAYLOAD, mode).alias("user")).select(
-        F.col("user.displayName").alias("displayName"),
-        F.col("user.userName").alias("userName"),
-        _field_list("user.groups", "display").alias("groups"),
-        _field_list("user.entitlements", "value").alias("entitlements"),
-        F.col("user.id").alias("userId"),
+    return _records(payloads, schemas.USER_PAYLOAD, mode).select(
+        "displayName",
+        "userName",
+        _field_list("groups", "display").alias("groups"),
+        _field_list("entitlements", "value").alias("entitlements"),
+        F.col("id").alias("userId"),
     )
 
 
 def parse_groups(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """One group per payload: name, member names and the entitlements it passes on."""
-    return payloads.select(_parsed(schemas.GROUP_PAYLOAD, mode).alias("grp")).select(
-        F.col("grp.displayName").alias("displayName"),
-        _field_list("grp.members", "display").alias("members"),
-        _field_list("grp.entitlements", "value").alias("entitlements"),
-        F.col("grp.id").alias("groupId"),
+    return _records(payloads, schemas.GROUP_PAYLOAD, mode).select(
+        "displayName",
+        _field_list("members", "display").alias("members"),
+        _field_list("entitlements", "value").alias("entitlements"),
+        F.col("id").alias("groupId"),
     )
