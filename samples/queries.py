@@ -57,7 +57,7 @@ def comparable(df: DataFrame) -> DataFrame:
 @query
 def privilege_lookup_expanded(spark, r):
     """The fixed lookup, reached from every owned securable."""
-    owners = grants.owned_securables(r.metadata).select(
+    owners = grants.owned_securables(r).select(
         "identifier", "type", F.lit("ALL_PRIVILEGES").alias("privilegeType")
     )
     return grants.expand_inheritance(owners, privilege_lookup(spark))
@@ -116,22 +116,22 @@ def classify_securable(spark, r):
 
 @query
 def effective_catalog_grants(spark, r):
-    return grants.effective_grants(r.metadata, CATALOG)
+    return grants.effective_grants(r, CATALOG)
 
 
 @query
 def effective_schema_grants(spark, r):
-    return grants.effective_grants(r.metadata, SCHEMA)
+    return grants.effective_grants(r, SCHEMA)
 
 
 @query
 def effective_table_grants(spark, r):
-    return grants.effective_grants(r.metadata, TABLE)
+    return grants.effective_grants(r, TABLE)
 
 
 @query
 def expand_inheritance(spark, r):
-    granted = grants.granted_securables(r.metadata).withColumnRenamed(
+    granted = grants.granted_securables(r).withColumnRenamed(
         "privilege_type", "privilegeType"
     )
     return grants.expand_inheritance(granted, privilege_lookup(spark))
@@ -139,23 +139,23 @@ def expand_inheritance(spark, r):
 
 @query
 def all_assets(spark, r):
-    return grants.all_assets(r.metadata)
+    return grants.all_assets(r)
 
 
 @query
 def all_assets_report(spark, r):
-    return reports.all_assets_report(r.metadata, privilege_lookup(spark))
+    return reports.all_assets_report(r, privilege_lookup(spark))
 
 
 @query
 def discovery_report(spark, r):
     tags = payloads.stored_tags(r)
-    return comparable(reports.discovery_report(tags, r.metadata, privilege_lookup(spark)))
+    return comparable(reports.discovery_report(tags, r, privilege_lookup(spark)))
 
 
 @query
 def function_report(spark, r):
-    return reports.function_report(r.metadata, privilege_lookup(spark))
+    return reports.function_report(r, privilege_lookup(spark))
 
 
 # Routine audit
@@ -208,13 +208,13 @@ def sink_append(spark, r):
 
 @query
 def enumerate_securables(spark, r):
-    return securables.enumerate_securables(r.metadata)
+    return securables.enumerate_securables(r)
 
 
 def collected(r: Relations, **options) -> DataFrame:
     return tagging.collect_tags(
         payloads.tag_payloads(r),
-        securables.enumerate_securables(r.metadata),
+        securables.enumerate_securables(r),
         as_of=at(SECOND_RUN),
         **options,
     )

@@ -7,8 +7,6 @@ A ``{name}`` refers to a given table or to an earlier relation.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 _ROUTINE_NAME = """CASE WHEN doc_id % 3 = 0 THEN 'encrypt_' WHEN doc_id % 3 = 1 THEN 'Encrypt_'
@@ -174,17 +172,21 @@ SELECT * FROM (VALUES ('Catalog', 'ALL_PRIVILEGES', 'USE CATALOG'),
   AS v(type, privilegeType, privilegeInheritance)""",
 }
 
-BASE_TABLES = (
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "events",
-    "documents",
-    "labels",
-)
+BASE_TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE,"
+    " c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT,"
+    " p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING,"
+    " value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+}
 
 
 class _References(dict):
@@ -206,7 +208,7 @@ def references(text: str) -> list[str]:
 
 
 class Relations:
-    """The relations of one data folder as Spark DataFrames."""
+    """The relations of one data folder as Spark DataFrames, looked up by name."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
@@ -220,15 +222,10 @@ class Relations:
                 inputs = {ref: self[ref] for ref in references(text)}
                 self._known[name] = self.spark.sql(text, **inputs)
             else:
-                self._known[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                reader = self.spark.read.schema(BASE_TABLES[name])
+                self._known[name] = reader.parquet(f"{self.folder}/{name}.parquet")
         return self._known[name]
 
-    @cached_property
-    def metadata(self) -> dict[str, DataFrame]:
-        from wardline.schemas import METADATA
-
-        return {name: self[name] for name in METADATA}
-
 
 def with_relations(query: str) -> str:
     """A DuckDB query preceded by the relations it refers to, each as a CTE."""
