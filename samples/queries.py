@@ -14,6 +14,7 @@ from wardline.functions import cipher, names, routine_rules
 from wardline.operators import entitlements, grants, securables
 from wardline.plans import audit, principals, protection, reports, tagging
 from wardline.session import scratch_folder
+from wardline.sinks.tables import append_audit
 from wardline.sources import payloads as landed
 from wardline.sources import tables as saved
 from wardline.sources.lookup import privilege_lookup
@@ -161,11 +162,14 @@ def function_report(spark, r):
 # Routine audit
 
 
-def audit_history(r: Relations) -> DataFrame:
-    """Two runs of the audit, the first of which has been marked already."""
-    first = audit.routine_audit(r["routines"], at(FIRST_RUN))
-    marked = audit.mark_removed(first, audit.removal_plan(first))
-    return marked.unionByName(audit.routine_audit(r["routines"], at(SECOND_RUN)))
+def audit_history(spark: SparkSession, r: Relations) -> DataFrame:
+    """The stored history of two audit runs, the first of which has been marked already."""
+    first_run, history = scratch_folder(spark, "audit"), scratch_folder(spark, "audit")
+    audit.record_audit(r["routines"], first_run, at(FIRST_RUN))
+    first = saved.read_saved(spark, first_run)
+    append_audit(audit.mark_removed(first, audit.removal_plan(first)), history)
+    audit.record_audit(r["routines"], history, at(SECOND_RUN))
+    return saved.read_saved(spark, history)
 
 
 @query
@@ -175,22 +179,22 @@ def routine_audit(spark, r):
 
 @query
 def function_validity_report(spark, r):
-    return comparable(reports.function_validity_report(audit_history(r)))
+    return comparable(reports.function_validity_report(audit_history(spark, r)))
 
 
 @query
 def removal_plan(spark, r):
-    return comparable(audit.removal_plan(audit_history(r)))
+    return comparable(audit.removal_plan(audit_history(spark, r)))
 
 
 @query
 def removal_plan_history(spark, r):
-    return comparable(audit.removal_plan(audit_history(r), include_history=True))
+    return comparable(audit.removal_plan(audit_history(spark, r), include_history=True))
 
 
 @query
 def audit_mark_removed(spark, r):
-    history = audit_history(r)
+    history = audit_history(spark, r)
     return comparable(audit.mark_removed(history, audit.removal_plan(history)))
 
 

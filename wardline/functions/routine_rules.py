@@ -30,13 +30,19 @@ SECRET_CALL = rf"secret\((['\"])({WORD}+)\1,{SPACE}*(['\"])({WORD}+)\3\)"
 def function_validity(
     definition: str, banned: Iterable[str] = BANNED_FUNCTIONS, ignore_case: bool = False
 ) -> Column:
-    """Invalid if a banned function name occurs as a whole word; NULL stays NULL."""
-    names = "|".join(re.escape(name) for name in banned)
+    """Invalid if a banned function name occurs as a whole word; NULL stays NULL.
+
+    Most places of a text are ruled out by their first character alone, which is far cheaper
+    to test than what precedes them.
+    """
+    banned = list(banned)
     text = F.col(definition)
-    if not names:
+    if not banned:
         return F.when(text.isNotNull(), F.lit(VALID_FUNCTION))
+    names = "|".join(re.escape(name) for name in banned)
+    initials = "".join(sorted({re.escape(name[0]) for name in banned}))
     flag = "(?iu)" if ignore_case else ""
-    found = text.rlike(rf"{flag}(?<!{WORD})(?:{names})(?!{WORD})")
+    found = text.rlike(rf"{flag}(?=[{initials}])(?<!{WORD})(?:{names})(?!{WORD})")
     return F.when(found, F.lit(INVALID_FUNCTION)).when(text.isNotNull(), F.lit(VALID_FUNCTION))
 
 

@@ -25,7 +25,12 @@ def not_null(columns) -> Column:
     return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in columns])
 
 
-def left_join_many(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+def left_join_many(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Mapping[str, str],
+    left_keys: DataFrame | None = None,
+) -> DataFrame:
     """Left outer join (left key -> right key) whose right side may hold any number of rows per key.
 
     Spark can split a hot key on the right of an inner join, but not of a left outer join,
@@ -34,7 +39,9 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -
     proper is then an inner one. It also lets Spark broadcast a left side that is small enough,
     and the rows of the left side, however wide, are shuffled once at most.
 
-    The right side's key columns are not part of the result.
+    ``left_keys`` may name a cheaper source of the left keys, with their columns; it must hold
+    every key of the left side and may hold others. The right side's key columns are not part
+    of the result.
     """
     partner_keys = {l: f"__right_{r}" for l, r in keys.items()}
     payload = [name for name in right.columns if name not in keys.values()]
@@ -42,8 +49,10 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Mapping[str, str]) -
         *[F.col(r).alias(partner_keys[l]) for l, r in keys.items()], *payload
     )
 
-    left_keys = left.select(*[F.col(l).alias(k) for l, k in partner_keys.items()]).distinct()
-    lonely = left_keys.join(
+    candidates = (left if left_keys is None else left_keys).select(
+        *[F.col(l).alias(k) for l, k in partner_keys.items()]
+    )
+    lonely = candidates.distinct().join(
         partners.select(*partner_keys.values()).distinct(),
         on=list(partner_keys.values()),
         how="left_anti",

@@ -28,16 +28,20 @@ def tagged_grants(tags: DataFrame, metadata: Mapping[str, DataFrame]) -> DataFra
     securable travels once rather than once per tag.
     """
     tagged = tags.filter(F.size("tags") > 0)
-    owned = owned_securables(metadata).select("identifier", "type", "owner", F.lit(True).alias("owned"))
+    owned = owned_securables(metadata).withColumn("owned", F.lit(True))
     known = tagged.join(owned, ["identifier", "type"], "left").withColumn(
         # Grants on something that is no known securable must find no partner.
         "grant_key",
         F.when(F.col("owned"), F.col("identifier")),
     )
+    possible_keys = tagged.select(
+        F.explode(F.array("identifier", F.lit(None))).alias("grant_key"), "type"
+    )
     joined = left_join_many(
         known,
         granted_securables(metadata),
         {"grant_key": "identifier", "type": "type"},
+        left_keys=possible_keys,
     )
     effective = effective_principal("owner")
     return joined.select(

@@ -40,10 +40,10 @@ def collect_tags(
     ``one_per_catalog`` keeps a single table per catalog, as a scan that remembers only the
     last table it saw would.
     """
-    answers = payloads
+    tagged = parse_tag_payloads(payloads, mode)
     if securables is not None:
-        answers = payloads.join(securables.select("identifier"), "identifier", "left_semi")
-    tagged = parse_tag_payloads(answers, mode)
+        # After parsing: most securables carry no tags, and tags are smaller than payloads.
+        tagged = tagged.join(securables.select("identifier"), "identifier", "left_semi")
     if one_per_catalog:
         typed = classify_securables(tagged)
         others = typed.filter(F.col("type") != TABLE).drop("type")
