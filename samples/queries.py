@@ -44,7 +44,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
     def shown(name: str, kind: str) -> Column:
         if kind == "array<string>":
-            return F.array_join(F.array_sort(name), ",").alias(name)
+            return F.array_join(F.sort_array(name), ",").alias(name)
         if kind.startswith("timestamp"):
             return F.date_format(name, TIME_FORMAT).alias(name)
         return F.col(name)

@@ -57,3 +57,12 @@ def test_a_small_left_side_is_broadcast_and_the_right_is_not_shuffled_for_it(spa
     left = spark.createDataFrame([(1,), (77,)], "k long")
     text = final_plan(left_join_many(left, right, {"k": "k"}))
     assert text.index("BroadcastHashJoin") < text.index("Union")
+
+
+def test_a_superset_of_the_left_keys_adds_no_rows(spark):
+    left = spark.createDataFrame([("a", 1), (None, 2)], "k string, l int")
+    right = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, r string")
+    more = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    assert rows(left_join_many(left, right, {"k": "k"}, left_keys=more)) == rows(
+        left_join_many(left, right, {"k": "k"})
+    )
