@@ -12,9 +12,9 @@ from samples.relations import Relations
 from wardline.constants import CATALOG, SCHEMA, TABLE
 from wardline.functions import cipher, names, routine_rules
 from wardline.operators import entitlements, grants, securables
-from wardline.plans import audit, principals, protection, reports, tagging
+from wardline.plans import audit, protection, reports, tagging
 from wardline.session import scratch_folder
-from wardline.sinks.tables import append_audit
+from wardline.sinks.tables import append_audit, save
 from wardline.sources import payloads as landed
 from wardline.sources import tables as saved
 from wardline.sources.lookup import privilege_lookup
@@ -313,12 +313,9 @@ def principal_report(spark, r):
 def sink_overwrite(spark, r):
     """The access table written twice: the second write replaces the first."""
     target = scratch_folder(spark, "access")
-    users, groups = payloads.user_payloads(r), payloads.group_payloads(r)
     for keep_uninherited in (True, False):
-        staging = scratch_folder(spark, "identities")
-        principals.refresh_access_table(
-            spark, users, groups, staging, target, keep_uninherited=keep_uninherited
-        )
+        access = entitlements.principal_access(*identities(r), keep_uninherited)
+        save(access, target, "overwrite")
     return saved.read_saved(spark, target)
 
 

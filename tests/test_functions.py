@@ -173,3 +173,13 @@ def test_registered_functions_take_awkward_names(spark):
     ).createOrReplaceTempView("test_keys")
     cipher.register_cipher_functions(spark, "test_keys", "it's\\", "k'", "enc", "dec")
     assert spark.sql("SELECT dec(enc(id)) AS v FROM range(1)").collect()[0].v == "0"
+
+
+def test_functions_stored_in_the_catalog(spark, tmp_path):
+    keys(spark).write.mode("overwrite").saveAsTable("stored_keys")
+    cipher.register_cipher_functions(
+        spark, "stored_keys", "s", "k24", "stored_enc", "stored_dec", temporary=False
+    )
+    assert spark.sql("SELECT stored_dec(stored_enc('v')) AS v").collect()[0].v == "v"
+    shown = spark.sql("SHOW USER FUNCTIONS").collect()
+    assert any(row[0].endswith("stored_enc") for row in shown)

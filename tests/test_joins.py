@@ -44,7 +44,6 @@ def test_a_hot_key_on_the_right_is_split(spark, settings, tmp_path):
     )
     joined = left_join_many(left, right, {"k": "k"})
     assert "skew=true" in final_plan(joined)
-    # 2000 keys of which 666 are taken twice over the modulus; the others keep one row.
     expected = left.join(right.withColumnRenamed("k", "k2"), F.col("k") == F.col("k2"), "left")
     assert joined.count() == expected.count()
 

@@ -17,7 +17,7 @@ from wardline.sources import payloads
 from wardline.sources.lookup import privilege_lookup
 
 METADATA = {
-    "catalogs": [("c", "oc", "MANAGED"), ("d", "od", "DELTASHARING_CATALOG"), ("e", "oe", "MANAGED")],
+    "catalogs": [("c", "oc", "MANAGED"), ("d", "od", "DELTASHARING_CATALOG"), ("e", "oe", None)],
     "schemata": [("c", "s", "os"), ("d", "s", "ods")],
     "tables": [("c", "s", "t", "ot"), ("d", "s", "t", "odt"), ("c", "gone", "t", "ot")],
     "catalog_privileges": [("root", "ann", "SELECT", "c"), (None, "bob", "MODIFY", "c")],

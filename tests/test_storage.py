@@ -84,7 +84,6 @@ def test_the_tag_job_keeps_its_state_between_runs(spark, tmp_path):
             )
         )
 
-    sinks.publish_version(spark.createDataFrame([], schemas.TAGS), "tags_master", folder)
     assert run(2, c="x", c_s_t="x", d="x") == [("c", "Catalog", ["x"], 2), ("c.s.t", "Table", ["x"], 2)]
     assert run(3, c="y", c_s="y") == [
         ("c", "Catalog", ["y"], 2),
@@ -94,32 +93,37 @@ def test_the_tag_job_keeps_its_state_between_runs(spark, tmp_path):
     assert run(1, c="z")[0] == ("c", "Catalog", ["y"], 2)
 
 
-def test_the_audit_history_is_marked_in_place(spark, tmp_path):
+@pytest.mark.parametrize("created_by_append", [True, False])
+def test_the_audit_history_is_marked_in_place(spark, tmp_path, created_by_append):
+    table = f"audit_history_{created_by_append}"
     routines = spark.createDataFrame(METADATA["routines"], schemas.METADATA["routines"])
-    sinks.publish_version(
-        audit.routine_audit(routines, F.lit(NOW)).limit(0), "audit_history", str(tmp_path)
-    )
-    for moment in (NOW, NOW + datetime.timedelta(days=1)):
-        audit.record_audit(routines, "audit_history", F.lit(moment))
-    assert spark.read.table("audit_history").count() == 4
-    audit.mark_removed_in_table(spark, "audit_history", str(tmp_path))
-    marked = spark.read.table("audit_history")
-    assert rows(marked.groupBy("routine_name", "status").count()) == [
-        ("f", "notAudited", 2),
+    if not created_by_append:
+        empty = spark.createDataFrame([], schemas.ROUTINE_AUDIT)
+        sinks.publish_version(empty, table, str(tmp_path))
+    for day in range(2):
+        audit.record_audit(routines, table, F.lit(NOW + datetime.timedelta(days=day)))
+    assert spark.read.table(table).count() == 4
+    audit.mark_removed_in_table(spark, table, str(tmp_path))
+    assert audit.removal_plan(spark.read.table(table)).count() == 0
+    audit.record_audit(routines, table, F.lit(NOW + datetime.timedelta(days=2)))
+    assert rows(spark.read.table(table).groupBy("routine_name", "status").count()) == [
+        ("f", "notAudited", 3),
+        ("g", "notAudited", 1),
         ("g", "remove", 2),
     ]
-    assert audit.removal_plan(marked).count() == 0
 
 
 def test_the_access_job(spark, tmp_path):
     users = spark.createDataFrame([(u,) for u in USERS], "payload string")
     groups = spark.createDataFrame([(g,) for g in GROUPS], "payload string")
-    for run in ("one", "two"):
+    for keep in (True, False):
         principals.refresh_access_table(
-            spark, users, groups, str(tmp_path / run), str(tmp_path / "access")
+            spark, "access", str(tmp_path / "it's here"), users, groups, keep
         )
-    stored = sources.read_saved(spark, str(tmp_path / "access"), schemas.PRINCIPAL_ACCESS)
-    assert rows(stored) == rows(principal_access(parse_users(users), parse_groups(groups)))
+        expected = principal_access(parse_users(users), parse_groups(groups), keep)
+        stored = sources.read_saved(spark, "access")
+        assert rows(stored) == rows(expected)
+        assert stored.columns == schemas.PRINCIPAL_ACCESS.names
 
 
 def test_published_ciphertext_is_stable(spark, tmp_path):

@@ -90,11 +90,15 @@ def register_cipher_functions(
     key: str,
     encrypt_name: str = "encrypt_value",
     decrypt_name: str = "decrypt_value",
+    temporary: bool = True,
 ) -> None:
-    """Create or replace the session's SQL functions for encrypting and decrypting a string.
+    """Create or replace SQL functions for encrypting and decrypting a string.
 
     Both are inlined into the calling query, with the key as a subquery over ``key_view``.
+    They last as long as the session, or stay in the catalog unless ``temporary``; the latter
+    needs a stored key table rather than a temporary view.
     """
+    kind = "TEMPORARY FUNCTION" if temporary else "FUNCTION"
     lengths = ", ".join(str(length) for length in KEY_LENGTHS)
     stored = f"""(
         SELECT CASE WHEN count(*) = 1 AND octet_length(max(secret)) IN ({lengths})
@@ -106,6 +110,6 @@ def register_cipher_functions(
         (decrypt_name, f"cast(aes_decrypt(unbase64(value), {stored}) AS STRING)"),
     ):
         spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING)"
+            f"CREATE OR REPLACE {kind} {name}(value STRING)"
             f" RETURNS STRING RETURN {body}"
         )

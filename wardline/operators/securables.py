@@ -15,8 +15,11 @@ from wardline.functions.names import identifier, name_part, securable_type
 def enumerate_securables(
     metadata: Mapping[str, DataFrame], shared_type: str = SHARED_CATALOG_TYPE
 ) -> DataFrame:
-    """``(identifier, type)`` of every catalog that is not shared in, its schemas and tables."""
-    catalogs = metadata["catalogs"].filter(F.col("catalog_type") != shared_type)
+    """``(identifier, type)`` of every catalog that is not shared in, its schemas and tables.
+
+    A catalog without a type counts as not shared.
+    """
+    catalogs = metadata["catalogs"].filter(~F.col("catalog_type").eqNullSafe(shared_type))
     schemata = metadata["schemata"].join(
         catalogs.select("catalog_name"), "catalog_name", "left_semi"
     )

@@ -92,10 +92,13 @@ def refresh_tag_table(
     """One run of the tag job: collect, merge, and publish the tag table's next version.
 
     The collected tags are written under ``folder`` first: the merge reads them twice, and all
-    its parts must see the same run time.
+    its parts must see the same run time. The first run creates the table.
     """
     landed = f"{folder.rstrip('/')}/collected-{uuid.uuid4().hex}"
     save(collect_tags(payloads, enumerate_securables(metadata), as_of), landed, "errorifexists")
     collected = read_saved(spark, landed, schemas.TAGS)
-    merged = merge_tags(read_saved(spark, table), collected, refresh_time)
-    return publish_version(merged, table, folder)
+    if spark.catalog.tableExists(table):
+        stored = read_saved(spark, table)
+    else:
+        stored = spark.createDataFrame([], schemas.TAGS)
+    return publish_version(merge_tags(stored, collected, refresh_time), table, folder)

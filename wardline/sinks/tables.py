@@ -44,14 +44,15 @@ def publish_version(df: DataFrame, table: str, folder: str) -> str:
     A table cannot be overwritten by a query that reads it. Each version therefore goes to a
     new folder under ``folder``, and the table is pointed at it once it is complete: a job
     that dies on the way leaves the table as it was. Older versions stay for readers that
-    are still using them.
+    are still using them. Only one job at a time may write to the table.
     """
     spark = df.sparkSession
     version = f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(version)
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        location = version.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.catalog.refreshTable(table)
     else:
-        spark.catalog.createTable(table, path=version, source="parquet")
+        spark.catalog.createTable(table, path=version, source="parquet", schema=df.schema)
     return version
