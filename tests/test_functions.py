@@ -134,6 +134,17 @@ def test_equal_values_get_different_ciphertext(spark):
     assert len({row.v for row in hidden.collect()}) == 10
 
 
+def test_long_ciphertext_is_one_line(spark):
+    keys(spark).createOrReplaceTempView("test_keys")
+    cipher.register_cipher_functions(spark, "test_keys", "s", "k32", "enc", "dec")
+    df = spark.range(1).select(F.repeat(F.lit("x"), F.lit(1000)).alias("v"))
+    by_column = cipher.encrypt_columns(df, ["v"], keys(spark), "s", "k32").collect()[0].v
+    by_function = spark.sql("SELECT enc(v) AS v FROM {df}", df=df).collect()[0].v
+    for text in (by_column, by_function):
+        assert len(text) == 4 * -(-1028 // 3)
+        assert re.fullmatch("[A-Za-z0-9+/]+=*", text)
+
+
 def test_unusable_keys_fail(spark):
     for name, message in (
         ("missing", "expected one secret"),

@@ -14,6 +14,8 @@ from wardline.functions.cipher import decrypt_columns, encrypt_columns
 from wardline.operators.entitlements import principal_access
 from wardline.operators.grants import effective_grants
 from wardline.plans.audit import routine_audit
+from wardline.plans.reports import discovery_report
+from wardline.sources.lookup import privilege_lookup
 from wardline.sources.payloads import parse_groups, parse_tag_payloads, parse_users
 
 
@@ -80,7 +82,5 @@ def test_the_secret_is_not_in_the_plan_and_is_looked_up_once(spark):
 def test_tags_are_exploded_after_the_joins(spark, tmp_path):
     r = Relations(spark, SMALL)
     tags = saved(stored_tags(r), tmp_path, "tags")
-    from wardline.plans.reports import tagged_grants
-
-    text = plan(tagged_grants(tags, r))
+    text = plan(discovery_report(tags, r, privilege_lookup(spark)))
     assert text.index("Generate explode(tags") < text.index("Join")

@@ -41,9 +41,11 @@ def secret(keys: DataFrame, scope: str, key: str) -> Column:
 
 
 def encrypted(column: str, key: Column) -> Column:
-    return F.base64(
+    """Ciphertext as one line of base64; Spark itself breaks lines after 76 characters."""
+    encoded = F.base64(
         F.aes_encrypt(F.col(column).cast("string").cast("binary"), key.cast("binary"))
     )
+    return F.replace(encoded, F.lit("\r\n"), F.lit(""))
 
 
 def decrypted(column: str, key: Column, tolerant: bool = False) -> Column:
@@ -106,7 +108,7 @@ def register_cipher_functions(
                     ELSE raise_error({_text(f"no usable secret for {scope}/{key}")}) END
         FROM {key_view} WHERE scope = {_text(scope)} AND key = {_text(key)})"""
     for name, body in (
-        (encrypt_name, f"base64(aes_encrypt(value, {stored}))"),
+        (encrypt_name, f"replace(base64(aes_encrypt(value, {stored})), chr(13) || chr(10), '')"),
         (decrypt_name, f"cast(aes_decrypt(unbase64(value), {stored}) AS STRING)"),
     ):
         spark.sql(

@@ -21,11 +21,10 @@ from wardline.operators.joins import left_join_many
 
 
 def tagged_grants(tags: DataFrame, metadata: Mapping[str, DataFrame]) -> DataFrame:
-    """Every tag of a securable with each principal and privilege on it.
+    """Every tagged securable, its list of tags, and each principal and privilege on it.
 
-    A tagged name that is no known securable keeps one row per tag with NULL principals.
-    Names must not contain dots themselves. Tags are exploded after the joins, so that a
-    securable travels once rather than once per tag.
+    A tagged name that is no known securable keeps one row with NULL principals. Names must not
+    contain dots themselves.
     """
     tagged = tags.filter(F.size("tags") > 0)
     owned = owned_securables(metadata).withColumn("owned", F.lit(True))
@@ -46,7 +45,6 @@ def tagged_grants(tags: DataFrame, metadata: Mapping[str, DataFrame]) -> DataFra
     effective = effective_principal("owner")
     return joined.select(
         *tags.columns,
-        F.explode("tags").alias("discoveryTags"),
         F.when(F.col("owned"), effective["principal_owner"]).alias("principal_owner"),
         F.when(F.col("owned"), effective["principal"]).alias("principal"),
         F.when(F.col("owned"), effective["privileges_type"]).alias("privilegeType"),
@@ -56,8 +54,18 @@ def tagged_grants(tags: DataFrame, metadata: Mapping[str, DataFrame]) -> DataFra
 def discovery_report(
     tags: DataFrame, metadata: Mapping[str, DataFrame], lookup: DataFrame
 ) -> DataFrame:
-    """Tag, securable, principal, privilege and the privileges it contains."""
-    return expand_inheritance(tagged_grants(tags, metadata), lookup)
+    """Tag, securable, principal, privilege and the privileges it contains.
+
+    Tags are exploded last: until then a securable travels once rather than once per tag.
+    """
+    return expand_inheritance(tagged_grants(tags, metadata), lookup).select(
+        *tags.columns,
+        F.explode("tags").alias("discoveryTags"),
+        "principal_owner",
+        "principal",
+        "privilegeType",
+        "privilegeInheritance",
+    )
 
 
 def all_assets_report(metadata: Mapping[str, DataFrame], lookup: DataFrame) -> DataFrame:
