@@ -26,28 +26,6 @@ def test_several_keys_under_different_names(spark):
     assert rows(joined) == [("a", "b", 1, 9), ("a", None, 2, None), ("c", "d", 3, None)]
 
 
-def test_a_hot_key_on_the_right_is_split(spark, settings, tmp_path):
-    settings(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__shuffle__partitions="16",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="50k",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
-    )
-    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 999))
-    right = spark.range(0, 200_000, 1, 8).select(key.alias("k"), F.col("id").alias("r"))
-    right.write.parquet(str(tmp_path / "right"))
-    right = spark.read.parquet(str(tmp_path / "right"))
-    left = spark.range(2000).select(F.concat(F.lit("k"), "id").alias("k")).union(
-        spark.sql("SELECT 'hot'")
-    )
-    joined = left_join_many(left, right, {"k": "k"})
-    assert "skew=true" in final_plan(joined)
-    expected = left.join(right.withColumnRenamed("k", "k2"), F.col("k") == F.col("k2"), "left")
-    assert joined.count() == expected.count()
-
-
 def test_a_small_left_side_is_broadcast_and_the_right_is_not_shuffled_for_it(spark, tmp_path):
     spark.range(100_000).select((F.col("id") % 50).alias("k"), "id").write.parquet(
         str(tmp_path / "right")

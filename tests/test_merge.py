@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from hypothesis import HealthCheck, given
 from hypothesis import settings as examples
 from hypothesis import strategies as st
 
-from conftest import rows, unique_failure
+from conftest import final_plan, rows, unique_failure
 from wardline.operators.merge import merge_outcome, merge_update, merge_upsert
 
 SCHEMA = "k string, v string, ts int"
@@ -118,3 +120,22 @@ def test_against_plain_python(spark, settings, threshold, data):
     once = upsert(frame(spark, target), frame(spark, keyed))
     assert rows(upsert(once, frame(spark, keyed))) == rows(once)
     assert rows(upsert(frame(spark, target), frame(spark, []))) == sorted(target, key=repr)
+
+
+def test_a_small_source_leaves_the_target_unshuffled(spark, tmp_path):
+    path = str(tmp_path / "target")
+    spark.range(10_000).selectExpr(
+        "CAST(id AS STRING) AS k", "'old' AS v", "CAST(id AS INT) AS ts"
+    ).write.parquet(path)
+    merged = merge_upsert(
+        spark.read.parquet(path),
+        spark.sql("SELECT * FROM VALUES ('5', 'new', 9), ('x', 'new', 1) AS s(k, v, ts)"),
+        {"k": "k"},
+        {"v": "v"},
+        NEWER,
+    )
+    text = final_plan(merged)
+    assert "SortMergeJoin" not in text
+    assert merged.count() == 10_001
+    # What is shuffled: the source for its grouping and its keys, and the matched keys.
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 3

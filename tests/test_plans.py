@@ -84,3 +84,9 @@ def test_tags_are_exploded_after_the_joins(spark, tmp_path):
     tags = saved(stored_tags(r), tmp_path, "tags")
     text = plan(discovery_report(tags, r, privilege_lookup(spark)))
     assert text.index("Generate explode(tags") < text.index("Join")
+
+
+@pytest.mark.parametrize("name", ["all_assets_report", "function_report", "discovery_report"])
+def test_the_lookup_is_broadcast_from_the_start(spark, name):
+    text = plan(queries()[name](spark, SMALL))
+    assert re.search(r"BroadcastHashJoin \[(lower\(type#\d+\), )?privilegeType#\d+\]", text)
