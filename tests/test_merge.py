@@ -103,22 +103,42 @@ def test_two_source_rows_without_a_target_row_are_both_inserted(spark):
     ]
 
 
+TIMES = st.integers(0, 3)
+KEYS = st.one_of(st.none(), st.sampled_from("abcdef"))
+CASES = st.tuples(
+    st.lists(st.tuples(KEYS, st.just("old"), TIMES), max_size=8),
+    st.lists(st.tuples(KEYS, st.just("new"), TIMES), max_size=8, unique_by=lambda row: row[0]),
+)
+
+
+def joined_cases(cases):
+    """Many small merges as one: keys carry the number of their case."""
+
+    def numbered(side):
+        return [
+            (None if k is None else f"{number}{k}", v, ts)
+            for number, case in enumerate(cases)
+            for k, v, ts in case[side]
+        ]
+
+    return numbered(0), numbered(1)
+
+
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
-@examples(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.data())
-def test_against_plain_python(spark, settings, threshold, data):
+@examples(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
+@given(cases=st.lists(CASES, min_size=30, max_size=60))
+def test_against_plain_python(spark, settings, threshold, cases):
     settings(spark__sql__autoBroadcastJoinThreshold=threshold)
-    key = st.one_of(st.none(), st.sampled_from("abcdef"))
-    time = st.integers(0, 3)
-    target = data.draw(st.lists(st.tuples(key, st.just("old"), time), max_size=8))
-    source = data.draw(
-        st.lists(st.tuples(key, st.just("new"), time), max_size=8, unique_by=lambda row: row[0])
-    )
-    once = upsert(frame(spark, target), frame(spark, source))
-    assert rows(once) == sorted(expected_upsert(target, source), key=repr)
-    keyed = [row for row in source if row[0] is not None]
-    once = upsert(frame(spark, target), frame(spark, keyed))
-    assert rows(upsert(once, frame(spark, keyed))) == rows(once)
+    target, source = joined_cases(cases)
+    merged = upsert(frame(spark, target), frame(spark, source))
+    assert rows(merged) == sorted(expected_upsert(target, source), key=repr)
+
+
+def test_merging_again_or_nothing_changes_nothing(spark):
+    target = [("a", "old", 2), ("b", "old", 2), ("b", "old", 1)]
+    source = frame(spark, [("a", "new", 2), ("b", "new", 1), ("c", "new", 1)])
+    once = upsert(frame(spark, target), source)
+    assert rows(upsert(once, source)) == rows(once)
     assert rows(upsert(frame(spark, target), frame(spark, []))) == sorted(target, key=repr)
 
 
