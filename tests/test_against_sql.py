@@ -7,8 +7,10 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from conftest import SMALL
+from samples.oracle import oracle_queries
+from samples.queries import QUERIES
 from samples.relations import BASE_TABLES
 
 
@@ -22,14 +24,15 @@ def duck():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle_queries())
+    assert set(QUERIES) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, duck, name):
     df = queries()[name](spark, SMALL)
     actual = Counter(tuple(row[c] for c in sorted(df.columns)) for row in df.collect())
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(oracle_queries()[name])
     columns = [column[0] for column in result.description]
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     expected = Counter(tuple(row[i] for i in order) for row in result.fetchall())
