@@ -3,16 +3,56 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardline.llm import byte_bpe
+from wardline.llm import byte_bpe, minhash_dedup, mixing, quality, substring_dedup
 from wardline.llm.common import read, stored
 
-STAGES = [("tokens", lambda spark, docs, sf_dir: byte_bpe.digests(docs))]
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose posterior probability of being good is at least one half."""
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    kept = quality.classify(docs, model).where("quality_score >= 0.5")
+    return kept.select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    found = minhash_dedup.near_duplicates(docs).where("kept")
+    found = stored(found.select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
+    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that stand earlier; one that loses nothing is unchanged."""
+    return substring_dedup.without_repeats(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of the sources takes them."""
+    return mixing.repeated(mixing.mix_sources(docs), docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each document and what they decode to, as digests."""
+    return byte_bpe.digests(docs)
+
+
+STAGES = [
+    ("quality", good_documents),
+    ("near duplicates", one_of_each_group),
+    ("repeated passages", without_repeats),
+    ("mix", mixed),
+    ("tokens", tokens),
+]
+# Classifier, sketches and tokens are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``, each stored and read again."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

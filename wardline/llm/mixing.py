@@ -160,8 +160,8 @@ def mix_sources(
 def repeated(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The mix itself: each document as often as it is taken, the last time perhaps in part.
 
-    A part is the first words of the document joined by one space. Documents without words, or
-    not taken, are left out.
+    A part is the first words of the document joined by one space; its ``n_chars`` is its own length.
+    Documents without words, or not taken, are left out.
     """
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
     rest = (F.col("taken") - (F.col("_turn") - 1) * F.col("size")).cast("int")
@@ -170,8 +170,12 @@ def repeated(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     turns = mixed.where("taken > 0").select(
         *columns, "taken", "size", F.explode(F.sequence(F.lit(1), times)).alias("_turn")
     )
-    text = F.when(rest >= F.col("size"), F.col("text")).otherwise(part)
-    return turns.select(*[text.alias(c) if c == "text" else F.col(c) for c in columns])
+    whole = rest >= F.col("size")
+    new = {"text": F.when(whole, F.col("text")).otherwise(part)}
+    if "n_chars" in columns:
+        length = F.when(whole, F.col("n_chars")).otherwise(F.char_length(part))
+        new["n_chars"] = length.cast(mixed.schema["n_chars"].dataType)
+    return turns.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:

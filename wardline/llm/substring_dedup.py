@@ -21,7 +21,7 @@ task; joins on such passages have one row per key on one side and can be split.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import compress
 
 import numpy as np
@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.llm.words import MULTIPLIERS, Piece, Ranges, pieces, signed, windows
 
@@ -144,7 +145,7 @@ def _repeats_inside(level: Level, rows: np.ndarray) -> np.ndarray:
     return starts[order[1:][same]]
 
 
-def _kept(window: int):
+def _kept(window: int, others: list[str], as_is: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
@@ -166,8 +167,12 @@ def _kept(window: int):
                 keep = np.cumsum(change[:-1]) == 0
                 kept = []
                 for k in range(n):
-                    words = (texts[piece.first + k].as_py() or "").encode().split()
-                    kept.append(b" ".join(compress(words, keep[bounds[k] : bounds[k + 1]])).decode())
+                    text, own = texts[piece.first + k].as_py(), keep[bounds[k] : bounds[k + 1]]
+                    if as_is and own.all():
+                        kept.append(text)
+                        continue
+                    words = (text or "").encode().split()
+                    kept.append(b" ".join(compress(words, own)).decode())
                 before = np.concatenate([[0], np.cumsum(keep)])
                 left = before[bounds[1:]] - before[bounds[:-1]]
                 yield pa.RecordBatch.from_arrays(
@@ -176,25 +181,31 @@ def _kept(window: int):
                         pa.array(piece.counts.astype(np.int64)),
                         pa.array((piece.counts - left).astype(np.int64)),
                         pa.array(kept, pa.string()),
+                        *[batch.column(f"own_{k}").slice(piece.first, n) for k in range(len(others))],
                     ],
-                    names=["doc_id", "n_words", "n_removed", "kept_text"],
+                    names=["doc_id", "n_words", "n_removed", "kept_text", *others],
                 )
 
     return emit
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_words, n_removed, kept_text``.
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, others: Sequence[str] = (), as_is: bool = False
+) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_words, n_removed, kept_text`` and ``others``.
 
     A word goes if it lies in a run of ``window`` words that also starts earlier: in a smaller
     ``doc_id``, or further left in the same document. Runs are judged on the input. Kept words are
-    joined by one space.
+    joined by one space; with ``as_is`` a text that loses nothing stays as it is.
 
     A null or empty text has no words. Rows with one ``doc_id`` count as one document, none of
     them before the other, but each keeps its own text and row; a null ``doc_id`` is one more
     document, behind all others. Texts shorter than a window are kept. Columns other than
-    ``doc_id`` and ``text`` are not read. No rows give no rows.
+    ``doc_id``, ``text`` and ``others`` are not read; names of ``others`` must not be those of the
+    result. No rows give no rows.
     """
+    others = list(others)
+    whole = docs.select("doc_id", "text", *[F.col(c).alias(f"own_{k}") for k, c in enumerate(others)])
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     runs = docs.mapInArrow(_runs(window), f"run long, context long, doc_id {id_type}")
@@ -232,16 +243,36 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy(F.col("doc_id").alias("late_id"))
         .agg(F.collect_list("key_a").alias("late"))
     )
+    more = [T.StructField(c, whole.schema[f"own_{k}"].dataType) for k, c in enumerate(others)]
+    result = f"doc_id {id_type}, n_words long, n_removed long, kept_text string"
     return (
-        docs.join(marks, same, "left")
-        .join(late, docs["doc_id"].eqNullSafe(F.col("late_id")), "left")
-        .select("doc_id", "text", "repeated", "first", "late")
+        whole.join(marks, whole["doc_id"].eqNullSafe(F.col("id")), "left")
+        .join(late, whole["doc_id"].eqNullSafe(F.col("late_id")), "left")
+        .select(*whole.columns, "repeated", "first", "late")
         .mapInArrow(
-            _kept(window), f"doc_id {id_type}, n_words long, n_removed long, kept_text string"
+            _kept(window, others, as_is), T.StructType([*T.StructType.fromDDL(result), *more])
         )
     )
 
 
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with the same columns and without their repeats.
+
+    A text that loses nothing stays as it is, a null one null. A column ``n_chars`` is the length
+    of the new text.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # A struct, so that no name of another column can be that of a result.
+    row = F.struct(F.lit(0).alias("_none"), *[F.col(c) for c in others]).alias("_row")
+    kept = remove_repeats(docs.select("doc_id", "text", row), window, ["_row"], as_is=True)
+    new = {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
+    if "n_chars" in others:
+        length = F.when(F.col("n_removed") > 0, F.char_length("kept_text"))
+        length = length.otherwise(F.col("_row.n_chars"))
+        new["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
+    return kept.select(*[new.get(c, F.col(f"_row.{c}")).alias(c) for c in docs.columns])
+
+
 def op1_substring_dedup(spark, folder: str) -> DataFrame:
     """What ``remove_repeats`` leaves of every document, as counts and a digest."""
     kept = remove_repeats(spark.read.parquet(f"{folder}/documents.parquet"))

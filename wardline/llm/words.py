@@ -68,11 +68,16 @@ class Ranges:
 
 @dataclass
 class Piece:
-    """Rows ``first`` to ``first + len(counts)`` of a batch, their words in order."""
+    """Rows ``first`` to ``first + len(counts)`` of a batch, their words in order.
+
+    ``prefixes`` has a line for each wanted prefix length, with the hash of every word's first
+    bytes, or of the whole word if that is shorter.
+    """
 
     first: int
     counts: np.ndarray
     hashes: np.ndarray
+    prefixes: np.ndarray | None = None
 
     @property
     def bounds(self) -> np.ndarray:
@@ -117,8 +122,8 @@ def _blocks(data: np.ndarray, parting: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def _hashed(data: np.ndarray, offsets: np.ndarray, parting, fold) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the words of ``data``; no word goes beyond a row."""
+def _hashed(data, offsets, parting, fold, prefixes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, hashes and prefix hashes of the words of ``data``; no word goes beyond a row."""
     inside = ~parting[data]
     starts, ends = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
     starts[1:-1] = inside[1:] & ~inside[:-1]
@@ -129,27 +134,30 @@ def _hashed(data: np.ndarray, offsets: np.ndarray, parting, fold) -> tuple[np.nd
     ends[heads[inside[heads - 1]]] = True
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends)
     coded = Ranges(_BYTES[fold[data]], MULTIPLIERS[0])
-    return begin, coded.hashes(begin, end)
+    short = [coded.hashes(begin, np.minimum(end, begin + n)) for n in prefixes]
+    return begin, coded.hashes(begin, end), np.array(short, U).reshape(len(prefixes), len(begin))
 
 
-def pieces(column: pa.Array, parting=WHITE, fold=SAME) -> Iterator[Piece]:
+def pieces(column: pa.Array, parting=WHITE, fold=SAME, prefixes=()) -> Iterator[Piece]:
     """The words of every row of a column, piece by piece."""
     data, offsets = text_buffer(column)
     for first, last in slices(offsets):
         own = offsets[first : last + 1] - offsets[first]
         part = data[offsets[first] : offsets[last]]
         if not len(part):
-            yield Piece(first, np.zeros(last - first, np.int64), np.zeros(0, U))
+            none = np.zeros((len(prefixes), 0), U)
+            yield Piece(first, np.zeros(last - first, np.int64), np.zeros(0, U), none)
         elif len(part) <= PIECE:
-            begin, hashes = _hashed(part, own, parting, fold)
-            yield Piece(first, np.diff(np.searchsorted(begin, own)), hashes)
+            begin, hashes, short = _hashed(part, own, parting, fold, prefixes)
+            yield Piece(first, np.diff(np.searchsorted(begin, own)), hashes, short)
         else:
             each = [
-                _hashed(part[a:b], np.array([0, b - a]), parting, fold)[1]
+                _hashed(part[a:b], np.array([0, b - a]), parting, fold, prefixes)
                 for a, b in _blocks(part, parting)
             ]
-            hashes = np.concatenate(each)
-            yield Piece(first, np.array([len(hashes)]), hashes)
+            hashes = np.concatenate([h for _, h, _ in each])
+            short = np.concatenate([s for *_, s in each], axis=1)
+            yield Piece(first, np.array([len(hashes)]), hashes, short)
 
 
 def windows(piece: Piece, length: int) -> np.ndarray:
