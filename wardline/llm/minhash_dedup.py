@@ -5,15 +5,16 @@ functions the smallest value over the set, as an exponential variable with rate
 on the scale of powers of ``BASE`` and truncated to 16 bits. Registers of two sets are merged by
 the larger value, and they agree the more often the more alike the sets are.
 
-*Candidates.* Four registers make a band; documents that share a band meet. First every document
-is compared with one of those it meets, the same for all. Mostly that joins a whole group, however
-large. Only where documents that meet are still in different components are all of them compared,
-register by register and in blocks, inside the tasks. Nothing emits all pairs of a group.
-
-*Estimate, then verify.* With the sizes of both sets known, the similarity of most likelihood given
-how many registers are larger, smaller and equal is computed, and pairs five deviations below the
-threshold go. For the rest the full sets are compared. Texts with the same words are one text
-throughout, so copies never meet.
+*Candidates.* Four registers make a band; documents that share a band meet. With the sizes of both
+sets known, the similarity of most likelihood given how many registers are larger, smaller and
+equal is computed; a pair is likely unless that is five deviations below the threshold. First every
+document is compared with one of those it meets, the same for all, which mostly joins a whole
+group, however large. Where documents that meet are still in different components, all of
+them are compared in blocks inside the tasks. Likely pairs make candidate groups.
+
+*Verify.* The full sets of all documents of a candidate group are compared, in blocks of ``TEXTS``.
+Only links that join two components leave a task, so nothing emits the pairs of a group. Texts
+with the same words are one text throughout, so copies never meet.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ REGISTERS = 80
 BAND = 4
 BASE, RATE = 1.001, 20.0
 DEVIATIONS = 5.0
+# Texts that are compared in one task at a time.
+TEXTS = 512
 
 _KEYS = mix(np.arange(1, 2 * REGISTERS + 1, dtype=U) * U(0x9E3779B97F4A7C15)).reshape(2, -1)
 _GRID = np.linspace(0.0, 1.0, 101)
@@ -161,7 +164,7 @@ def _likely(percent: int):
 
 
 def _across(percent: int):
-    """Likely pairs of different components among those that meet in a cell."""
+    """Links that join the components of likely pairs among those that meet in a cell."""
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         least = least_estimate(percent)
@@ -173,18 +176,24 @@ def _across(percent: int):
         held = _vectors(table.column("registers"))
         for low, high in zip(starts[:-1], starts[1:], strict=True):
             cross = cell[low] >> 16 != cell[low] & 0xFFFF
-            for i in range(low, high - 1):
-                j = np.arange(i + 1, high)
-                j = j[part[j] != part[i]]
+            label = part[low:high].copy()
+            for i in range(high - low - 1):
+                j = np.arange(i + 1, high - low)
+                j = j[label[j] != label[i]]
                 if cross:
-                    j = j[block[j] != block[i]]
+                    j = j[block[low + j] != block[low + i]]
                 if not len(j):
                     continue
-                larger, smaller = (held[i] > held[j]).sum(axis=1), (held[i] < held[j]).sum(axis=1)
-                good = j[similarity(larger, smaller, np.full(len(j), size[i]), size[j]) >= least]
-                if len(good):
+                own, other = held[low + i], held[low + j]
+                larger, smaller = (own > other).sum(axis=1), (own < other).sum(axis=1)
+                sizes = np.full(len(j), size[low + i]), size[low + j]
+                found = j[similarity(larger, smaller, *sizes) >= least]
+                # One link to each component that is new is enough.
+                found = found[np.unique(label[found], return_index=True)[1]]
+                if len(found):
+                    label[np.isin(label, label[found])] = label[i]
                     yield pa.RecordBatch.from_arrays(
-                        [keys.take(pa.array(np.full(len(good), i))), keys.take(pa.array(good))],
+                        [keys.take(pa.array(np.full(len(found), low + i))), keys.take(pa.array(low + found))],
                         names=["a", "b"],
                     )
 
@@ -214,18 +223,42 @@ def _sets(texts: pa.Array) -> list[np.ndarray]:
 
 
 def _verified(percent: int):
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for x, y in zip(_sets(batch.column("own")), _sets(batch.column("other")), strict=True):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(good, pa.bool_())) for c in ("a", "b")],
-                names=["a", "b"],
-            )
+    """Links that join the components of truly linked texts of a cell."""
 
-    return emit
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        starts = np.append(_starts(table, ["place", "cell"]), len(table))
+        keys, texts = table.column("key").combine_chunks(), table.column("text").combine_chunks()
+        block, cell = np.array(table.column("block")), np.array(table.column("cell"))
+        for low, high in zip(starts[:-1], starts[1:], strict=True):
+            sets = _sets(texts.slice(low, high - low))
+            sizes = np.array([len(x) for x in sets])
+            ends = np.cumsum(sizes)
+            codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            cross = cell[low] >> 16 != cell[low] & 0xFFFF
+            seen = np.zeros(int(codes.max()) + 1, np.uint8)
+            label = np.arange(high - low)
+            found: list[tuple[int, int]] = []
+            for i in range(high - low - 1):
+                if (label[i + 1 :] == label[i]).all():
+                    continue
+                own = codes[ends[i] - sizes[i] : ends[i]]
+                seen[own] = 1
+                both = np.add.reduceat(seen[codes[ends[i] :]], ends[i:-1] - ends[i], dtype=np.int64)
+                seen[own] = 0
+                good = 100 * both >= percent * (sizes[i] + sizes[i + 1 :] - both)
+                if cross:
+                    good &= block[low + i + 1 : high] != block[low + i]
+                for j in i + 1 + np.flatnonzero(good):
+                    if label[j] != label[i]:
+                        label[label == label[j]] = label[i]
+                        found.append((low + i, low + int(j)))
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(a)), keys.take(pa.array(b))], names=["a", "b"]
+                )
+
+    return work
 
 
 def _ends(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
@@ -276,22 +309,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     likely = stored(
         _ends(stars, sides, "registers").mapInArrow(_likely(percent), "a binary, b binary"), "likely"
     )
-    wanted = stored(meetings.select("key").distinct().join(texts, "key").select("key", "first"), "wanted")
-    bodies = stored(
-        docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("first")))
-        .select("key", "text")
-        .mapInArrow(_texts, "key binary, text string")
-        .dropDuplicates(["key"]),
-        "bodies",
-    )
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return stored(
-            _ends(pairs, bodies, "text").mapInArrow(_verified(percent), "a binary, b binary"), "verified"
-        )
-
-    links = verified(likely)
-    parts = components(links)
+    parts = components(likely)
 
     def labelled(table: DataFrame) -> DataFrame:
         return table.join(parts, F.col("key") == F.col("id"), "left").withColumn(
@@ -303,17 +321,36 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     open_places = open_places.where(F.col("p") != F.col("q")).select("place")
     rest = split.join(open_places, "place").join(sides, "key")
     columns = ["place", "cell", "block", "key", "part", "n_shingles", "registers"]
-    more = (
+    more = stored(
         sorted_cells(in_blocks(rest)).select(*columns)
-        .mapInArrow(_by_group(_across(percent), columns), "a binary, b binary")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        .mapInArrow(_by_group(_across(percent), columns), "a binary, b binary"),
+        "rest",
     )
-    more = stored(more, "rest")
     if not more.isEmpty():
-        found = verified(more)
-        if not found.isEmpty():
-            parts = components(links.unionByName(found))
+        parts = components(likely.unionByName(more))
 
+    wanted = stored(
+        parts.join(texts.select("key", "first"), F.col("id") == F.col("key")).select(
+            "key", "first", F.col("component").alias("place")
+        ),
+        "wanted",
+    )
+    bodies = stored(
+        docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("first")))
+        .select("key", "text")
+        .mapInArrow(_texts, "key binary, text string")
+        .dropDuplicates(["key"])
+        .join(wanted.select("key", "place"), "key"),
+        "bodies",
+    )
+    columns = ["place", "cell", "block", "key", "text"]
+    links = stored(
+        sorted_cells(in_blocks(bodies, TEXTS)).select(*columns).mapInArrow(
+            _by_group(_verified(percent), columns), "a binary, b binary"
+        ),
+        "verified",
+    )
+    parts = components(links)
     named = labelled(texts.select("key", "first"))
     smallest = named.groupBy(F.col("part").alias("of")).agg(F.min("first").alias("least"))
     found = named.join(smallest, F.col("part") == F.col("of")).select(

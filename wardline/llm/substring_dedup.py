@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardline.llm.common import stored
 from wardline.llm.words import MULTIPLIERS, Piece, Ranges, pieces, signed, windows
 
 WINDOW = 20
@@ -221,10 +222,13 @@ def remove_repeats(
             "doc_id", "context", F.when(F.col("many").isNull(), 1).otherwise(2).alias("mark")
         )
     )
-    marks = marks.groupBy(F.col("doc_id").alias("id")).agg(
-        F.collect_list(F.when(F.col("mark") == 0, F.col("context"))).alias("repeated"),
-        F.collect_list(F.when(F.col("mark") > 0, F.col("context"))).alias("first"),
-        F.collect_list(F.when(F.col("mark") == 2, F.col("context"))).alias("open"),
+    marks = stored(
+        marks.groupBy(F.col("doc_id").alias("id")).agg(
+            F.collect_list(F.when(F.col("mark") == 0, F.col("context"))).alias("repeated"),
+            F.collect_list(F.when(F.col("mark") > 0, F.col("context"))).alias("first"),
+            F.collect_list(F.when(F.col("mark") == 2, F.col("context"))).alias("open"),
+        ),
+        "marks",
     )
     same = docs["doc_id"].eqNullSafe(F.col("id"))
 
