@@ -136,11 +136,12 @@ SELECT DISTINCT
 FROM {orders}""",
     "user_groups_named": """
 SELECT DISTINCT display AS displayname FROM {user_groups}""",
-    # One group passes on nothing.
+    # Orders of the last priority go to the one before: that group passes on nothing.
     "group_entitlements": """
-SELECT DISTINCT o_orderpriority AS displayname,
+SELECT DISTINCT
+  CASE o_orderpriority WHEN '5-LOW' THEN '4-NOT SPECIFIED' ELSE o_orderpriority END AS displayname,
   CASE o_orderstatus WHEN 'P' THEN 'group-only' ELSE 'workspace-access' END AS value
-FROM {orders} WHERE o_orderpriority <> '5-LOW'""",
+FROM {orders}""",
     "group_members": """
 SELECT DISTINCT o_orderpriority AS displayname, c_mktsegment AS display
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",

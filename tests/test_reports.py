@@ -266,3 +266,15 @@ def test_access_needs_a_group_an_entitlement_and_by_default_an_inherited_one(ide
     relaxed = principal_access(*identities, keep_uninherited=True)
     assert rows(relaxed) == sorted(pairs + eve + [("bob", "g3", "own")], key=repr)
     assert reports.principal_report(relaxed).columns == ["Principal", "Groups", "workspaceAccess"]
+
+
+def test_entitlements_follow_the_record_not_the_id(spark):
+    users = spark.createDataFrame(
+        [("n", "u1", ["g"], [], "a"), ("n", "u2", ["h"], [], "a"), ("n", "u3", ["g"], [], None)],
+        "displayName string, userName string, groups array<string>, entitlements array<string>, userId string",
+    )
+    groups = spark.createDataFrame(
+        [("g", ["eg"]), ("h", ["eh"])], "displayName string, entitlements array<string>"
+    )
+    found = {tuple(r) for r in principal_access(users, groups).collect()}
+    assert found == {("u1", "g", "eg"), ("u2", "h", "eh"), ("u3", "g", "eg")}

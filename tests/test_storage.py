@@ -147,3 +147,15 @@ def test_scratch_folders_are_under_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert one != two and one.startswith(f"{shared}/x-")
+
+
+def test_a_version_with_other_columns_is_refused(spark, tmp_path):
+    folder = f"{tmp_path}/guarded"
+    sinks.publish_version(spark.createDataFrame([(1, "x")], "a int, b string"), "guarded", folder)
+    for schema in ("a int, c string", "a int", "a int, b int"):
+        with pytest.raises(ValueError, match="guarded has"):
+            sinks.publish_version(spark.createDataFrame([], schema), "guarded", folder)
+    assert rows(spark.read.table("guarded")) == [(1, "x")]
+    sinks.publish_version(spark.createDataFrame([("y", 2)], "b string, a int"), "guarded", folder)
+    assert rows(spark.read.table("guarded")) == [(2, "y")]
+    spark.sql("DROP TABLE guarded")

@@ -6,36 +6,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def inherited_entitlements(users: DataFrame, groups: DataFrame) -> DataFrame:
-    """``(userId, inherited_entitlements)`` of the users who inherit any.
+def _passed_on(users: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(__groups, inherited)`` of every list of groups that passes on anything.
 
-    Membership is a join, so a group with very many members is split like any hot key. The
-    sets are built on the map side first and hold distinct entitlements only, however many
-    groups pass them on.
+    What is inherited depends on the list alone, so each distinct list is worked out once.
+    Membership is a join, so a group in very many lists is split like any hot key. The sets
+    are built on the map side first and hold distinct entitlements only.
     """
-    memberships = users.select(
-        "userId", F.explode(F.array_distinct("groups")).alias("__group")
-    )
+    lists = users.select(F.col("groups").alias("__groups")).distinct()
+    memberships = lists.select("__groups", F.explode(F.array_distinct("__groups")).alias("__group"))
     passed_on = groups.select("displayName", F.explode("entitlements").alias("value")).distinct()
     inherited = memberships.join(
         passed_on, memberships["__group"].eqNullSafe(passed_on["displayName"]), "inner"
     )
     # A set of structs keeps an entitlement without a name, which a set of strings would lose.
     return (
-        inherited.groupBy("userId")
+        inherited.groupBy("__groups")
         .agg(F.collect_set(F.struct("value")).alias("__set"))
-        .select(
-            "userId",
-            F.transform("__set", lambda item: item["value"]).alias("inherited_entitlements"),
-        )
+        .select("__groups", F.transform("__set", lambda item: item["value"]).alias("inherited"))
+    )
+
+
+def inherited_entitlements(users: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(userId, inherited_entitlements)`` of every user record that inherits any.
+
+    Records are taken one by one: an id that is absent or repeated changes nothing.
+    """
+    known = _passed_on(users, groups)
+    return users.join(known, users["groups"].eqNullSafe(known["__groups"]), "inner").select(
+        "userId", F.col("inherited").alias("inherited_entitlements")
     )
 
 
 def final_entitlements(users: DataFrame, groups: DataFrame) -> DataFrame:
     """Users with ``inherited_entitlements`` and the union with their own, both never NULL."""
     nothing = F.array().cast("array<string>")
-    joined = users.join(inherited_entitlements(users, groups), "userId", "left")
-    inherited = F.coalesce("inherited_entitlements", nothing)
+    known = _passed_on(users, groups)
+    joined = users.join(known, users["groups"].eqNullSafe(known["__groups"]), "left")
+    inherited = F.coalesce("inherited", nothing)
     return joined.select(
         *users.columns,
         inherited.alias("inherited_entitlements"),

@@ -45,8 +45,17 @@ def publish_version(df: DataFrame, table: str, folder: str) -> str:
     new folder under ``folder``, and the table is pointed at it once it is complete: a job
     that dies on the way leaves the table as it was. Older versions stay for readers that
     are still using them. Only one job at a time may write to the table.
+
+    An existing table keeps its columns: ``df`` must have the same names and types, in any order,
+    or nothing is written.
     """
     spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        known = spark.read.table(table).schema
+        here, there = ({f.name: f.dataType for f in s.fields} for s in (df.schema, known))
+        if here != there or len(df.columns) != len(known.names):
+            raise ValueError(f"{table} has {known.simpleString()}, not {df.schema.simpleString()}")
+        df = df.select(*known.names)
     version = f"{folder.rstrip('/')}/version-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(version)
     if spark.catalog.tableExists(table):
