@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from wardline.llm.common import WORD, stored
 
 SAMPLES = 16
-ROWS_PER_RANGE = 1_000
+ROWS_PER_RANGE = 500
 MOST_RANGES = 8_192
 EMPTY = ""
 
@@ -42,9 +42,11 @@ def arrival(bits: Column, size: Column) -> Column:
     return F.when(size == 0.0, F.log(c) - r * (1.0 - b)).otherwise(many)
 
 
-def in_ranges(docs: DataFrame) -> DataFrame:
+def in_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id, text, part, rank``: rows in about equal ranges of the id, numbered from 1.
 
+    The second frame has ``head, text``, the first text of each range, found by aggregation.
+
     Nulls are in the last range; equal ids are ordered by text. The limits of the ranges, a few
     thousand numbers at most, come from an approximate quantile sketch.
     """
@@ -52,32 +54,31 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     n = rows.select(F.count(F.lit(1))).first()[0]
     k = min(MOST_RANGES, max(1, math.ceil(n / ROWS_PER_RANGE)))
     cuts = sorted(set(rows.approxQuantile("doc_id", [i / k for i in range(1, k)], 0.2 / k))) if k > 1 else []
-    part: Column = F.lit(0)
+    rows = rows.withColumn("part", F.lit(0))
     if cuts:
         table = F.array(*[F.lit(int(c)) for c in cuts])
-        halves = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-        # Binary search for the number of limits that are not above the id.
-        part = F.aggregate(
-            F.array(*[F.lit(h) for h in halves]),
-            F.lit(0),
-            lambda at, step: F.when(
-                F.coalesce(F.try_element_at(table, at + step) <= F.col("doc_id"), F.lit(False)), at + step
-            ).otherwise(at),
-        )
-    part = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(part)
-    rows = rows.withColumn("part", part).repartition("part")
+        # Binary search for the number of limits that are not above the id, a step at a time.
+        for bit in reversed(range(len(cuts).bit_length())):
+            further = F.col("part") + (1 << bit)
+            below = F.try_element_at(table, further) <= F.col("doc_id")
+            rows = rows.withColumn("part", F.when(below, further).otherwise(F.col("part")))
+    last = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.col("part"))
+    rows = rows.withColumn("part", last)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text"))
+    heads = rows.groupBy(F.col("part").alias("head")).agg(first.alias("first"))
+    heads = heads.select("head", "first.text")
+    rows = rows.repartition(k, "part")
     order = Window.partitionBy("part").orderBy(F.col("doc_id").asc_nulls_last(), "text")
-    return rows.withColumn("rank", F.row_number().over(order))
+    return rows.withColumn("rank", F.row_number().over(order)), heads
 
 
-def with_next(rows: DataFrame, columns: list[str], by: list) -> DataFrame:
+def with_next(rows: DataFrame, columns: list[str], heads: DataFrame) -> DataFrame:
     """Add ``next_<column>`` of the next row by part and rank; after the last comes the first.
 
-    Only the first row of each part crosses to another one: a stored table of as many rows as
-    there are parts.
+    ``heads`` has the columns of the first row of each part, called ``head``. Only these rows
+    cross to another part: a stored table of as many rows as there are parts.
     """
-    order = Window.partitionBy("part").orderBy(*by)
-    heads = rows.where("rank = 1").select(F.col("part").alias("head"), *columns)
+    order = Window.partitionBy("part").orderBy("rank")
     following = Window.orderBy("head")
     heads = stored(heads, "heads")
     ends = heads.select(
@@ -149,7 +150,8 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     null text is empty, and an empty text has the empty fingerprint. A null id comes last, equal
     ids are ordered by text. Other columns are not read. No rows give no rows.
     """
-    rows = with_next(in_ranges(docs), ["text"], ["rank"])
+    rows, heads = in_ranges(docs)
+    rows = with_next(rows, ["text"], heads)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(
@@ -171,7 +173,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
         .drop("_part", "_rank"),
         "fingerprints",
     )
-    table = with_next(table, ["own"], ["rank"])
+    table = with_next(table, ["own"], table.where("rank = 1").select(F.col("part").alias("head"), "own"))
     own, other, after = F.col("own"), F.col("other"), F.col("next_own")
     return table.select(
         "doc_id",
