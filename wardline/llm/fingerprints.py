@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from wardline.llm.common import WORD, stored
 
-SAMPLES = 16
+SAMPLES = 24
 ROWS_PER_RANGE = 500
 MOST_RANGES = 8_192
 EMPTY = ""
