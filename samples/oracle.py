@@ -15,6 +15,7 @@ _WORD = r"[\p{L}\p{N}_]"
 _NO_WORD = r"[^\p{L}\p{N}_]"
 
 # The text braces of the patterns are doubled: the queries are format strings.
+# The banned names.
 _FUNCTION_VALID = (
     r"regexp_matches(routine_definition,"
     r" '(^|NO_WORD)(hash|mask|md5|sha|sha1|sha2|crc32)($|NO_WORD)')"
@@ -36,6 +37,7 @@ def _group(first: int, second: int) -> str:
     )
 
 
+# The allowed scopes and keys.
 _SECRET_VALID = f"""({_group(2, 3)}, {_group(5, 6)}) IN
   (('scope1', 'key1'), ('scope2', 'key2'), ('scope3', 'key3'), ('encryptionkeys', 'ssn'))"""
 
@@ -120,17 +122,17 @@ FROM {{{observations}}} GROUP BY identifier"""
 
 _DISCOVERY = f"""SELECT m.identifier, m.type, m.tags, {_TIME.format("m.lastCheckedAt")} AS lastCheckedAt,
   unnest(string_split(m.tags, ',')) AS discoveryTags,
-  CASE m.type WHEN 'Catalog' THEN c.principal_owner WHEN 'Schema' THEN s.principal_owner
-    ELSE t.principal_owner END AS principal_owner,
-  CASE m.type WHEN 'Catalog' THEN c.principal WHEN 'Schema' THEN s.principal
-    ELSE t.principal END AS principal,
-  CASE m.type WHEN 'Catalog' THEN c.privileges_type WHEN 'Schema' THEN s.privileges_type
-    ELSE t.privileges_type END AS privilegeType
-FROM ({_tags("stored_observations")}) m
-LEFT JOIN ({_effective("catalog")}) c ON c.catalog_name = m.identifier
-LEFT JOIN ({_effective("schema")}) s ON s.catalog_name || '.' || s.schema_name = m.identifier
-LEFT JOIN ({_effective("table")}) t
-  ON t.table_catalog || '.' || t.table_schema || '.' || t.table_name = m.identifier"""
+  h.principal_owner, h.principal, h.privileges_type AS privilegeType
+FROM ({_tags("stored_observations")}) m LEFT JOIN (
+  SELECT 'Catalog' AS level, catalog_name AS name, principal_owner, principal, privileges_type
+  FROM ({_effective("catalog")})
+  UNION ALL
+  SELECT 'Schema', catalog_name || '.' || schema_name, principal_owner, principal, privileges_type
+  FROM ({_effective("schema")})
+  UNION ALL
+  SELECT 'Table', table_catalog || '.' || table_schema || '.' || table_name, principal_owner,
+    principal, privileges_type
+  FROM ({_effective("table")})) h ON h.level = m.type AND h.name = m.identifier"""
 
 _FUNCTIONS = f"""SELECT {_ROUTINE.replace("routine_", "o.routine_")} AS identifier,
   o.routine_owner AS principalOwner,
@@ -142,9 +144,13 @@ FROM {{routines}} o LEFT JOIN {{routine_privileges}} g
     AND o.routine_name = g.routine_name"""
 
 # Answers that fail are those for names ending in 7.
-_PARSED_TAGS = f"""SELECT identifier, type, tags FROM ({_tags("scanned_observations")})
+def _parsed(observations: str) -> str:
+    return f"""SELECT identifier, type, tags FROM ({_tags(observations)})
 WHERE identifier IN (SELECT identifier FROM {{securables}}) AND right(identifier, 1) <> '7'"""
 
+
+_PARSED_TAGS = _parsed("scanned_observations")
+
 _IN_SCOPE = """SELECT catalog_name AS identifier, 'Catalog' AS type
 FROM {catalogs} WHERE catalog_type <> 'DELTASHARING_CATALOG'
 UNION ALL SELECT s.catalog_name || '.' || s.schema_name, 'Schema'
@@ -157,6 +163,13 @@ WHERE catalog_type <> 'DELTASHARING_CATALOG'"""
 _COLLECTED = f"""SELECT identifier, type, tags, {_SECOND} AS lastCheckedAt FROM ({_PARSED_TAGS})
 WHERE identifier IN (SELECT identifier FROM ({_IN_SCOPE}))"""
 
+_TWO_RUNS = f"""SELECT identifier, coalesce(l.type, m.type) AS type,
+  coalesce(l.tags, m.tags) AS tags,
+  CASE WHEN m.identifier IS NULL THEN {_SECOND} ELSE {_FIRST} END AS lastCheckedAt
+FROM ({_parsed("stored_observations")}) m
+FULL JOIN ({_parsed("scanned_observations")}) l USING (identifier)
+WHERE identifier IN (SELECT identifier FROM ({_IN_SCOPE}))"""
+
 _LAST_TABLE = f"""SELECT max(identifier) AS identifier FROM ({_PARSED_TAGS}) WHERE type = 'Table'
 GROUP BY split_part(identifier, '.', 1)"""
 
@@ -169,6 +182,9 @@ _MERGED = f"""SELECT coalesce(m.identifier, l.identifier) AS identifier,
 FROM ({_tags("stored_observations")}) m
 FULL JOIN ({_tags("scanned_observations")}) l ON m.identifier = l.identifier"""
 
+_MERGED_TAGS = f"""SELECT identifier, type, tags,
+  {_TIME.format("coalesce(stored_time, scanned_time)")} AS lastCheckedAt FROM ({_MERGED})"""
+
 _INHERITED = """SELECT DISTINCT g.id, e.value FROM {user_groups} g
 JOIN {group_entitlements} e ON g.display = e.displayname"""
 
@@ -232,7 +248,12 @@ LEFT JOIN ({_listed("SELECT * FROM {group_entitlements}", "displayname", "value"
     "audit_mark_removed": f"""SELECT * REPLACE (CASE WHEN isValid THEN status ELSE 'remove' END AS status)
 FROM ({_HISTORY})""",
     "sink_append": f"SELECT * REPLACE ('notAudited' AS status) FROM ({_HISTORY})",
+    "reports_from_metadata_folder": _inherit(_ALL_ASSETS),
+    "audit_mark_stored_plan": _HISTORY,
     "enumerate_securables": _IN_SCOPE,
+    "listed_securables": _IN_SCOPE,
+    "refresh_tag_table": _TWO_RUNS,
+    "refresh_access_table": _access(only_inheriting=True),
     "collect_tags": _COLLECTED,
     "collect_tags_one_per_catalog": f"""SELECT * FROM ({_COLLECTED})
 WHERE type <> 'Table' OR identifier IN ({_LAST_TABLE})""",
@@ -240,8 +261,8 @@ WHERE type <> 'Table' OR identifier IN ({_LAST_TABLE})""",
     "last_tagged_table": f"""SELECT identifier, tags FROM ({_PARSED_TAGS})
 WHERE identifier IN ({_LAST_TABLE})""",
     "explode_tags": f"SELECT DISTINCT identifier, {_TYPE} AS type, tag FROM {{stored_observations}}",
-    "merge_tags": f"""SELECT identifier, type, tags,
-  {_TIME.format("coalesce(stored_time, scanned_time)")} AS lastCheckedAt FROM ({_MERGED})""",
+    "merge_tags": _MERGED_TAGS,
+    "sink_publish_version": _MERGED_TAGS,
     "merge_tags_refresh_time": f"""SELECT identifier, type, tags,
   {_TIME.format("CASE WHEN outcome IN ('insert', 'update') THEN scanned_time ELSE stored_time END")}
     AS lastCheckedAt FROM ({_MERGED})""",

@@ -32,14 +32,14 @@ def scanned_tags(relations: Relations) -> DataFrame:
     return tags_table(relations["scanned_observations"])
 
 
-def tag_payloads(relations: Relations) -> DataFrame:
+def tag_payloads(relations: Relations, observations: str = "scanned_observations") -> DataFrame:
     """The tag service's answer for every securable.
 
     Names ending in 7 fail; untagged ones get an assignment without tags, or no assignment if
     their name ends in 3; a second assignment is there to be ignored.
     """
     last = F.right("identifier", F.lit(1))
-    scanned = scanned_tags(relations).select("identifier", "tags")
+    scanned = tags_table(relations[observations]).select("identifier", "tags")
     other = F.array(F.lit("other"))
     assignments = (
         F.when(
@@ -58,6 +58,40 @@ def tag_payloads(relations: Relations) -> DataFrame:
     )
 
 
+def list_pages(relations: Relations) -> list[DataFrame]:
+    """List answers of catalogs, schemas and tables, one resource a page."""
+
+    def pages(relation: str, key: str, **fields: str) -> DataFrame:
+        record = F.struct(*[F.col(column).alias(field) for field, column in fields.items()])
+        page = F.to_json(F.struct(F.array(record).alias(key)))
+        return relations[relation].select(page.alias("payload"))
+
+    return [
+        pages(
+            "catalogs",
+            "catalogs",
+            name="catalog_name",
+            owner="catalog_owner",
+            catalog_type="catalog_type",
+        ),
+        pages(
+            "schemata",
+            "schemas",
+            name="schema_name",
+            catalog_name="catalog_name",
+            owner="schema_owner",
+        ),
+        pages(
+            "tables",
+            "tables",
+            name="table_name",
+            catalog_name="table_catalog",
+            schema_name="table_schema",
+            owner="table_owner",
+        ),
+    ]
+
+
 def _named_list(df: DataFrame, key: str, field: str, name: str) -> DataFrame:
     """One row per key with its (distinct, few) values as a list of one-field objects."""
     return df.groupBy(key).agg(F.collect_set(F.struct(field)).alias(name))

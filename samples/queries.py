@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,9 +12,11 @@ from samples import payloads
 from samples.relations import Relations
 from wardline.constants import CATALOG, SCHEMA, TABLE
 from wardline.functions import cipher, names, routine_rules
+from wardline import schemas
 from wardline.operators import entitlements, grants, securables
-from wardline.plans import audit, protection, reports, tagging
+from wardline.plans import audit, principals, protection, reports, tagging
 from wardline.session import scratch_folder
+from wardline.sinks import tables as sinks
 from wardline.sinks.tables import append_audit, save
 from wardline.sources import payloads as landed
 from wardline.sources import tables as saved
@@ -52,6 +55,10 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*[shown(name, kind) for name, kind in df.dtypes])
 
 
+def table_name(purpose: str) -> str:
+    return f"{purpose}_{uuid.uuid4().hex}"
+
+
 # Sources and functions
 
 
@@ -159,6 +166,15 @@ def function_report(spark, r):
     return reports.function_report(r, privilege_lookup(spark))
 
 
+@query
+def reports_from_metadata_folder(spark, r):
+    """The asset report over metadata that was landed in a folder and read from there."""
+    folder = scratch_folder(spark, "metadata")
+    for name in schemas.METADATA:
+        save(r[name], f"{folder}/{name}", "errorifexists")
+    return reports.all_assets_report(saved.read_metadata(spark, folder), privilege_lookup(spark))
+
+
 # Routine audit
 
 
@@ -207,9 +223,49 @@ def sink_append(spark, r):
     return comparable(saved.read_saved(spark, target))
 
 
+@query
+def audit_mark_stored_plan(spark, r):
+    """A stored plan is marked in a stored history; the run added after the plan stays open."""
+    table, folder = table_name("audit"), scratch_folder(spark, "audit")
+    first = saved.typed(audit.routine_audit(r["routines"], at(FIRST_RUN)), schemas.ROUTINE_AUDIT)
+    sinks.publish_version(first, table, folder)
+    plan = f"{folder}/plan"
+    save(audit.removal_plan(saved.read_saved(spark, table)), plan, "errorifexists")
+    audit.record_audit(r["routines"], table, at(SECOND_RUN))
+    audit.mark_removed_in_table(spark, table, folder, saved.read_saved(spark, plan))
+    return comparable(saved.read_saved(spark, table))
+
+
 # Tags
 
 
+@query
+def listed_securables(spark, r):
+    """The securables in scope, from landed list answers."""
+    return securables.enumerate_securables(landed.listed_metadata(*payloads.list_pages(r)))
+
+
+@query
+def refresh_tag_table(spark, r):
+    """Two runs of the tag job: one finds the stored tags, the next what was scanned later."""
+    table, folder = table_name("tags"), scratch_folder(spark, "tags")
+    runs = ((FIRST_RUN, "stored_observations"), (SECOND_RUN, "scanned_observations"))
+    for run, observations in runs:
+        answers = payloads.tag_payloads(r, observations)
+        tagging.refresh_tag_table(spark, table, folder, answers, r, at(run))
+    return comparable(saved.read_saved(spark, table))
+
+
+@query
+def sink_publish_version(spark, r):
+    """Two versions of the tag table; the second is a merge into the first."""
+    table, folder = table_name("tags"), scratch_folder(spark, "tags")
+    sinks.publish_version(payloads.stored_tags(r), table, folder)
+    merged = tagging.merge_tags(saved.read_saved(spark, table), payloads.scanned_tags(r))
+    sinks.publish_version(merged, table, folder)
+    return comparable(saved.read_saved(spark, table))
+
+
 @query
 def enumerate_securables(spark, r):
     return securables.enumerate_securables(r)
@@ -319,6 +375,16 @@ def sink_overwrite(spark, r):
     return saved.read_saved(spark, target)
 
 
+@query
+def refresh_access_table(spark, r):
+    """The access job run twice: the second run replaces the first one's rows."""
+    table, folder = table_name("access"), scratch_folder(spark, "access")
+    answers = payloads.user_payloads(r), payloads.group_payloads(r)
+    for keep_uninherited in (True, False):
+        principals.refresh_access_table(spark, table, folder, *answers, keep_uninherited)
+    return saved.read_saved(spark, table)
+
+
 # Encryption
 
 PROTECTED = ("ssn", "zipcode")

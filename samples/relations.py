@@ -157,6 +157,7 @@ FROM {customer}""",
 SELECT 'scope' || CAST(r_regionkey AS VARCHAR(20)) AS scope,
   'key' || CAST(r_regionkey AS VARCHAR(20)) AS key, md5(r_name) AS secret
 FROM {region}""",
+    # The rows of the lookup.
     "privilege_lookup": """
 SELECT * FROM (VALUES ('Catalog', 'ALL_PRIVILEGES', 'USE CATALOG'),
   ('Catalog', 'ALL_PRIVILEGES', 'USE SCHEMA'), ('Catalog', 'ALL_PRIVILEGES', 'SELECT'),

@@ -103,9 +103,11 @@ def test_the_audit_history_is_marked_in_place(spark, tmp_path, created_by_append
     for day in range(2):
         audit.record_audit(routines, table, F.lit(NOW + datetime.timedelta(days=day)))
     assert spark.read.table(table).count() == 4
-    audit.mark_removed_in_table(spark, table, str(tmp_path))
-    assert audit.removal_plan(spark.read.table(table)).count() == 0
+    sinks.save(audit.removal_plan(spark.read.table(table)), str(tmp_path / "plan"), "errorifexists")
     audit.record_audit(routines, table, F.lit(NOW + datetime.timedelta(days=2)))
+    plan = sources.read_saved(spark, str(tmp_path / "plan"))
+    audit.mark_removed_in_table(spark, table, str(tmp_path), plan)
+    assert audit.removal_plan(spark.read.table(table)).count() == 1
     assert rows(spark.read.table(table).groupBy("routine_name", "status").count()) == [
         ("f", "notAudited", 3),
         ("g", "notAudited", 1),
@@ -159,3 +161,43 @@ def test_a_version_with_other_columns_is_refused(spark, tmp_path):
     sinks.publish_version(spark.createDataFrame([("y", 2)], "b string, a int"), "guarded", folder)
     assert rows(spark.read.table("guarded")) == [(2, "y")]
     spark.sql("DROP TABLE guarded")
+
+
+def test_metadata_without_a_column_is_refused_and_times_are_cast(spark, tmp_path):
+    for name, data in METADATA.items():
+        df = spark.createDataFrame(data, schemas.METADATA[name])
+        if name == "routines":
+            df = df.withColumn("created", F.lit(NOW).cast("timestamp"))
+        df.write.parquet(str(tmp_path / "whole" / name))
+        if name == "table_privileges":
+            df = df.drop("grantor")
+        df.write.parquet(str(tmp_path / "lacking" / name))
+    routines = sources.read_metadata(spark, str(tmp_path / "whole"))["routines"]
+    assert {r["created"] for r in routines.collect()} == {"2024-01-01 00:00:00"}
+    with pytest.raises(ValueError, match="grantor"):
+        sources.read_metadata(spark, str(tmp_path / "lacking"))
+
+
+def test_audit_times_have_one_type(spark, tmp_path, settings):
+    settings(spark__sql__session__timeZone="America/New_York")
+    routines = spark.createDataFrame(METADATA["routines"], schemas.METADATA["routines"])
+    target = str(tmp_path / "audit")
+    for kind in ("timestamp", "timestamp_ntz"):
+        audit.record_audit(routines, target, F.lit("2024-02-01 00:00:00").cast(kind))
+    times = sources.read_saved(spark, target).select(F.col("markedAt").cast("string")).distinct()
+    assert rows(times) == [("2024-02-01 00:00:00",)]
+
+
+def test_superseded_folders_are_removed_but_never_the_current_one(spark, tmp_path):
+    folder = str(tmp_path / "kept")
+    for n in (1, 2, 3):
+        current = sinks.publish_version(spark.range(n), "superseded", folder)
+    sinks.save(spark.range(1), f"{folder}/other", "errorifexists")
+    long_ago = datetime.datetime(2020, 1, 1, tzinfo=datetime.timezone.utc)
+    assert sinks.remove_superseded(spark, "superseded", folder, long_ago) == []
+    ahead = datetime.datetime.now(datetime.timezone.utc) + datetime.timedelta(days=1)
+    assert len(sinks.remove_superseded(spark, "superseded", folder, ahead)) == 2
+    assert spark.read.table("superseded").count() == 3
+    assert spark.read.parquet(current).count() == 3
+    assert spark.read.parquet(f"{folder}/other").count() == 1
+    spark.sql("DROP TABLE superseded")

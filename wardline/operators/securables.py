@@ -43,6 +43,26 @@ def classify_securables(df: DataFrame, name: str = "identifier") -> DataFrame:
     return df.withColumn("type", securable_type(name))
 
 
+def one_table_per_catalog(tagged: DataFrame) -> DataFrame:
+    """Tagged catalogs and schemas as they are, and of the tables the last of each catalog.
+
+    One grouping over one reading: tables by catalog, any other row by itself, with a count so
+    that repeated rows stay.
+    """
+    is_table = securable_type("identifier") == TABLE
+    row = F.struct("identifier", "tags")
+    kept = (
+        tagged.filter(F.col("identifier").isNotNull())
+        .groupBy(
+            F.when(is_table, name_part("identifier", 1)).alias("catalog"),
+            F.when(~is_table, row).alias("other"),
+        )
+        .agg(F.max(row).alias("row"), F.count(F.lit(1)).cast("int").alias("n"))
+    )
+    copies = F.when(F.col("other").isNull(), 1).otherwise(F.col("n"))
+    return kept.select(F.explode(F.array_repeat("row", copies)).alias("row")).select("row.*")
+
+
 def last_tagged_table(tagged: DataFrame) -> DataFrame:
     """One tagged table per catalog, the one whose name sorts last, with its tags."""
     return (

@@ -88,10 +88,10 @@ def record_audit(
     append_audit(routine_audit(routines, as_of), target)
 
 
-def mark_removed_in_table(spark: SparkSession, table: str, folder: str) -> str:
-    """Mark every open invalid row of a stored audit, as the table's next version.
+def mark_removed_in_table(spark: SparkSession, table: str, folder: str, plan: DataFrame) -> str:
+    """Mark the rows that ``plan`` names in a stored audit, as the table's next version.
 
-    Run it once the statements of the :func:`removal_plan` have been carried out.
+    ``plan`` is the stored :func:`removal_plan` whose statements have been carried out. Rows that
+    were added after it was made are not marked.
     """
-    audit = read_saved(spark, table)
-    return publish_version(mark_removed(audit, removal_plan(audit)), table, folder)
+    return publish_version(mark_removed(read_saved(spark, table), plan), table, folder)

@@ -9,16 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline import schemas
-from wardline.constants import TABLE
 from wardline.operators.merge import merge_outcome, merge_upsert
 from wardline.operators.securables import (
     classify_securables,
     enumerate_securables,
-    last_tagged_table,
+    one_table_per_catalog,
 )
 from wardline.sinks.tables import publish_version, save
 from wardline.sources.payloads import parse_tag_payloads
-from wardline.sources.tables import read_saved
+from wardline.sources.tables import read_saved, typed
 
 MERGE_KEYS = {"identifier": "identifier"}
 
@@ -45,9 +44,7 @@ def collect_tags(
         # After parsing: most securables carry no tags, and tags are smaller than payloads.
         tagged = tagged.join(securables.select("identifier"), "identifier", "left_semi")
     if one_per_catalog:
-        typed = classify_securables(tagged)
-        others = typed.filter(F.col("type") != TABLE).drop("type")
-        tagged = others.unionByName(last_tagged_table(tagged))
+        tagged = one_table_per_catalog(tagged)
     return classify_securables(tagged).select(
         "identifier",
         "type",
@@ -95,7 +92,8 @@ def refresh_tag_table(
     its parts must see the same run time. The first run creates the table.
     """
     landed = f"{folder.rstrip('/')}/collected-{uuid.uuid4().hex}"
-    save(collect_tags(payloads, enumerate_securables(metadata), as_of), landed, "errorifexists")
+    found = collect_tags(payloads, enumerate_securables(metadata), as_of)
+    save(typed(found, schemas.TAGS), landed, "errorifexists")
     collected = read_saved(spark, landed, schemas.TAGS)
     if spark.catalog.tableExists(table):
         stored = read_saved(spark, table)

@@ -85,4 +85,3 @@ GROUP_PAYLOAD = (
     "id STRING, displayName STRING,"
     " members ARRAY<STRUCT<display: STRING>>, entitlements ARRAY<STRUCT<value: STRING>>"
 )
-LISTING_PAYLOAD = "Resources ARRAY<STRING>"

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from wardline import schemas
+from wardline.sources.tables import typed
 
 
 def save(df: DataFrame, target: str, mode: str) -> None:
@@ -21,8 +23,8 @@ def save(df: DataFrame, target: str, mode: str) -> None:
 
 
 def append_audit(audit: DataFrame, target: str) -> None:
-    """Add a run to the audit history."""
-    save(audit.select(*schemas.ROUTINE_AUDIT.names), target, "append")
+    """Add a run to the audit history, in the types of the history."""
+    save(typed(audit, schemas.ROUTINE_AUDIT), target, "append")
 
 
 def reset_table(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
@@ -65,3 +67,24 @@ def publish_version(df: DataFrame, table: str, folder: str) -> str:
     else:
         spark.catalog.createTable(table, path=version, source="parquet", schema=df.schema)
     return version
+
+
+def remove_superseded(spark: SparkSession, table: str, folder: str, before: datetime) -> list[str]:
+    """Delete what older jobs left under the table's ``folder``; returns what was deleted.
+
+    That is every ``version-``, ``collected-`` and ``users-`` folder last written before the time
+    ``before`` (with a zone), but never the current version. Choose a time before which no reader
+    and no job that still runs has started.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    location = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'")
+    current = spark._jvm.org.apache.hadoop.fs.Path(location.first()["data_type"]).getName()
+    removed = []
+    for entry in files.listStatus(root):
+        name = entry.getPath().getName()
+        old = entry.getModificationTime() < before.timestamp() * 1000
+        if old and name != current and name.startswith(("version-", "collected-", "users-")):
+            files.delete(entry.getPath(), True)
+            removed.append(name)
+    return sorted(removed)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wardline import schemas
 
@@ -39,9 +40,11 @@ def parse_tag_payloads(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame
     )
 
 
-def listed_resources(pages: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """List answers ``{"Resources": [...]}`` to one ``payload`` row per resource."""
-    resources = _parsed(schemas.LISTING_PAYLOAD, mode)["Resources"]
+def listed_resources(
+    pages: DataFrame, mode: str = "FAILFAST", key: str = "Resources"
+) -> DataFrame:
+    """List answers ``{key: [...]}`` to one ``payload`` row per resource."""
+    resources = _parsed(f"`{key}` ARRAY<STRING>", mode)[key]
     return pages.select(F.explode(resources).alias("payload"))
 
 
@@ -54,6 +57,45 @@ def _records(payloads: DataFrame, schema: str, mode: str) -> DataFrame:
     return payloads.select(F.inline(F.array(_parsed(schema, mode))))
 
 
+def listed_metadata(
+    catalogs: DataFrame, schemata: DataFrame, tables: DataFrame, mode: str = "FAILFAST"
+) -> dict[str, DataFrame]:
+    """The metadata relations of landed list answers of the three levels."""
+
+    def listed(pages: DataFrame, key: str, schema: StructType, **names: str) -> DataFrame:
+        fields = ", ".join(f"{field} STRING" for field in names.values())
+        records = _records(listed_resources(pages, mode, key), fields, mode)
+        return records.select(*[F.col(names[name]).alias(name) for name in schema.names])
+
+    return {
+        "catalogs": listed(
+            catalogs,
+            "catalogs",
+            schemas.METADATA["catalogs"],
+            catalog_name="name",
+            catalog_owner="owner",
+            catalog_type="catalog_type",
+        ),
+        "schemata": listed(
+            schemata,
+            "schemas",
+            schemas.METADATA["schemata"],
+            catalog_name="catalog_name",
+            schema_name="name",
+            schema_owner="owner",
+        ),
+        "tables": listed(
+            tables,
+            "tables",
+            schemas.METADATA["tables"],
+            table_catalog="catalog_name",
+            table_schema="schema_name",
+            table_name="name",
+            table_owner="owner",
+        ),
+    }
+
+
 def parse_users(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """One user per payload: names, group names and direct entitlements."""
     return _records(payloads, schemas.USER_PAYLOAD, mode).select(

@@ -13,19 +13,36 @@ def read_saved(spark: SparkSession, source: str, schema: StructType | None = Non
     """Read a saved table; a ``source`` with a slash is a parquet path, any other a table name."""
     if "/" not in source:
         return spark.read.table(source)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(source)
+    stored = spark.read.parquet(source)
+    return stored if schema is None else typed(stored, schema)
+
+
+def typed(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` in its order and types; fails if ``df`` lacks one.
+
+    Times without a zone are times of the session's zone.
+    """
+    missing = [name for name in schema.names if name not in df.columns]
+    if missing:
+        raise ValueError(f"columns {', '.join(missing)} are missing")
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_metadata(spark: SparkSession, source: str) -> dict[str, DataFrame]:
-    """The metadata relations under a folder of parquet tables or a catalog schema."""
+    """The metadata relations under a folder of parquet tables or a catalog schema.
+
+    Every column of ``schemas.METADATA`` must be there; types such as that of a time are cast.
+    """
     if "/" in source:
         root = source.rstrip("/")
         return {
             name: read_saved(spark, f"{root}/{name}", schema)
             for name, schema in schemas.METADATA.items()
         }
-    return {name: read_saved(spark, f"{source}.{name}") for name in schemas.METADATA}
+    return {
+        name: typed(read_saved(spark, f"{source}.{name}"), schema)
+        for name, schema in schemas.METADATA.items()
+    }
 
 
 def routines_with_definition(routines: DataFrame) -> DataFrame:
