@@ -15,6 +15,7 @@ from wardline.operators.entitlements import principal_access
 from wardline.operators.grants import effective_grants
 from wardline.plans.audit import routine_audit
 from wardline.plans.reports import discovery_report
+from wardline.plans.tagging import collect_tags
 from wardline.sources.lookup import privilege_lookup
 from wardline.sources.payloads import parse_groups, parse_tag_payloads, parse_users
 
@@ -61,6 +62,13 @@ def test_failed_answers_are_skipped_in_the_scan(spark, tmp_path):
     assert len(re.findall("from_json", text)) == 1
 
 
+def test_one_table_per_catalog_parses_once_and_groups_once(spark, tmp_path):
+    payloads = saved(tag_payloads(Relations(spark, SMALL)), tmp_path, "payloads")
+    text = plan(collect_tags(payloads, one_per_catalog=True))
+    assert len(re.findall("from_json", text)) == 1
+    assert len(re.findall("Exchange hashpartitioning", text)) == 1
+
+
 def test_each_identity_record_is_parsed_once_per_reader(spark, tmp_path):
     r = Relations(spark, SMALL)
     users = parse_users(saved(user_payloads(r), tmp_path, "users"))
