@@ -195,6 +195,18 @@ def _listed(rows: str, key: str, value: str) -> str:
     return f"SELECT {key}, string_agg({value}, ',' ORDER BY {value}) AS list FROM ({rows}) GROUP BY 1"
 
 
+def _final(shown_id: str) -> str:
+    """Entitlements of each user record, found by its own id and shown under another."""
+    return f"""SELECT u.displayname AS displayName, u.username AS userName,
+  coalesce(g.list, '') AS groups, coalesce(e.list, '') AS entitlements, {shown_id} AS userId,
+  coalesce(i.list, '') AS inherited_entitlements, coalesce(f.list, '') AS final_entitlements
+FROM {{users}} u
+LEFT JOIN ({_listed("SELECT * FROM {user_groups}", "id", "display")}) g ON u.id = g.id
+LEFT JOIN ({_listed("SELECT * FROM {user_entitlements}", "id", "value")}) e ON u.id = e.id
+LEFT JOIN ({_listed(_INHERITED, "id", "value")}) i ON u.id = i.id
+LEFT JOIN ({_listed(_FINAL, "id", "value")}) f ON u.id = f.id"""
+
+
 def _access(only_inheriting: bool) -> str:
     condition = f"WHERE u.id IN (SELECT id FROM ({_INHERITED}))" if only_inheriting else ""
     return f"""SELECT DISTINCT u.username AS userName, g.display AS Groups, f.value AS entitlements
@@ -237,6 +249,7 @@ LEFT JOIN ({_listed("SELECT * FROM {group_entitlements}", "displayname", "value"
     "effective_schema_grants": _effective("schema"),
     "effective_table_grants": _effective("table"),
     "expand_inheritance": _inherit(_GRANTED),
+    "lookup_inserted": _inherit(_GRANTED),
     "all_assets": _ALL_ASSETS,
     "all_assets_report": _inherit(_ALL_ASSETS),
     "discovery_report": _inherit(_DISCOVERY),
@@ -262,6 +275,9 @@ WHERE type <> 'Table' OR identifier IN ({_LAST_TABLE})""",
 WHERE identifier IN ({_LAST_TABLE})""",
     "explode_tags": f"SELECT DISTINCT identifier, {_TYPE} AS type, tag FROM {{stored_observations}}",
     "merge_tags": _MERGED_TAGS,
+    "merge_repeated_new_keys": f"""{_MERGED_TAGS}
+UNION ALL SELECT identifier, type, tags, {_TIME.format("scanned_time")} FROM ({_MERGED})
+WHERE outcome = 'insert'""",
     "sink_publish_version": _MERGED_TAGS,
     "merge_tags_refresh_time": f"""SELECT identifier, type, tags,
   {_TIME.format("CASE WHEN outcome IN ('insert', 'update') THEN scanned_time ELSE stored_time END")}
@@ -269,14 +285,8 @@ WHERE identifier IN ({_LAST_TABLE})""",
     "merge_outcome": f"SELECT identifier, outcome FROM ({_MERGED})",
     "inherited_entitlements": f"""SELECT id AS userId, list AS inherited_entitlements
 FROM ({_listed(_INHERITED, "id", "value")})""",
-    "final_entitlements": f"""SELECT u.displayname AS displayName, u.username AS userName,
-  coalesce(g.list, '') AS groups, coalesce(e.list, '') AS entitlements, u.id AS userId,
-  coalesce(i.list, '') AS inherited_entitlements, coalesce(f.list, '') AS final_entitlements
-FROM {{users}} u
-LEFT JOIN ({_listed("SELECT * FROM {user_groups}", "id", "display")}) g ON u.id = g.id
-LEFT JOIN ({_listed("SELECT * FROM {user_entitlements}", "id", "value")}) e ON u.id = e.id
-LEFT JOIN ({_listed(_INHERITED, "id", "value")}) i ON u.id = i.id
-LEFT JOIN ({_listed(_FINAL, "id", "value")}) f ON u.id = f.id""",
+    "final_entitlements": _final("u.id"),
+    "entitlements_per_record": _final("nullif(right(u.id, 1), '7')"),
     "principal_access": _access(only_inheriting=True),
     "principal_access_uninherited": _access(only_inheriting=False),
     "principal_report": f"""SELECT userName AS Principal, Groups, entitlements AS workspaceAccess
@@ -290,6 +300,7 @@ FROM ({_access(only_inheriting=True)})""",
 FROM {people}""",
     "cipher_functions": f"""SELECT name, ssn, {_cipher_length("zipcode")} AS zipcode_length
 FROM {{people}}""",
+    "cipher_functions_replaced": "SELECT name, ssn, zipcode FROM {people}",
 }
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from samples import payloads
 from samples.relations import Relations
-from wardline.constants import CATALOG, SCHEMA, TABLE
+from wardline.constants import ALL_PRIVILEGES, CATALOG, INHERITED_PRIVILEGES, SCHEMA, TABLE
 from wardline.functions import cipher, names, routine_rules
 from wardline import schemas
 from wardline.operators import entitlements, grants, securables
@@ -145,6 +145,22 @@ def expand_inheritance(spark, r):
     return grants.expand_inheritance(granted, privilege_lookup(spark))
 
 
+@query
+def lookup_inserted(spark, r):
+    """Inheritance by a lookup that was inserted row by row into a table that was reset."""
+    table = table_name("lookup")
+    rows = [
+        (kind, ALL_PRIVILEGES, privilege)
+        for kind, privileges in INHERITED_PRIVILEGES.items()
+        for privilege in privileges
+    ]
+    for _ in range(2):
+        sinks.reset_table(spark, table, schemas.PRIVILEGE_LOOKUP)
+        sinks.insert_rows(spark, table, rows)
+    granted = grants.granted_securables(r).withColumnRenamed("privilege_type", "privilegeType")
+    return grants.expand_inheritance(granted, saved.read_saved(spark, table))
+
+
 @query
 def all_assets(spark, r):
     return grants.all_assets(r)
@@ -325,6 +341,14 @@ def merge_tags_refresh_time(spark, r):
     )
 
 
+@query
+def merge_repeated_new_keys(spark, r):
+    """A source that repeats securables the table lacks: each of its rows is added."""
+    stored, scanned = payloads.stored_tags(r), payloads.scanned_tags(r)
+    again = scanned.join(stored, "identifier", "left_anti")
+    return comparable(tagging.merge_tags(stored, scanned.unionByName(again)))
+
+
 @query
 def merge_outcome(spark, r):
     return tagging.merge_tags_outcome(payloads.stored_tags(r), payloads.scanned_tags(r))
@@ -350,6 +374,15 @@ def final_entitlements(spark, r):
     return comparable(entitlements.final_entitlements(*identities(r)))
 
 
+@query
+def entitlements_per_record(spark, r):
+    """Records without an id, or with one that many share, keep to their own groups."""
+    users, groups = identities(r)
+    last = F.right("userId", F.lit(1))
+    shared = users.withColumn("userId", F.when(last != "7", last))
+    return comparable(entitlements.final_entitlements(shared, groups))
+
+
 @query
 def principal_access(spark, r):
     return entitlements.principal_access(*identities(r))
@@ -437,3 +470,18 @@ def cipher_functions(spark, r):
         " length(wardline_encrypt(zipcode)) AS zipcode_length FROM {people}",
         people=r["people"],
     )
+
+
+@query
+def cipher_functions_replaced(spark, r):
+    """Functions registered again with another key decrypt what that key has encrypted."""
+    r["cipher_keys"].createOrReplaceTempView("wardline_cipher_keys")
+    for scope, key in (("scope1", "key1"), KEY):
+        cipher.register_cipher_functions(
+            spark, "wardline_cipher_keys", scope, key, "wardline_hide", "wardline_show"
+        )
+    hidden = cipher.encrypt_columns(r["people"], PROTECTED, r["cipher_keys"], *KEY)
+    return spark.sql(
+        "SELECT name, wardline_show(ssn) AS ssn, wardline_show(zipcode) AS zipcode FROM {hidden}",
+        hidden=hidden,
+    )
