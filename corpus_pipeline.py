@@ -18,8 +18,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    found = minhash_dedup.near_duplicates(docs).where("kept")
+    """The document with the smallest id of each group that shares 80 % of its runs of five words."""
+    found = minhash_dedup.near_duplicates(docs, length=5, percent=80).where("kept")
     found = stored(found.select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
     return docs.join(found, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
 

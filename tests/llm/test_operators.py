@@ -74,6 +74,20 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert minhash_dedup.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_of_the_stage_share_80_percent_of_runs_of_five_words(spark):
+    long, short = [f"w{i}" for i in range(500)], [f"v{i}" for i in range(80)]
+    texts = [
+        long, long + [f"t{i}" for i in range(100)],  # 0.833 of the runs of three, 0.832 of five
+        short, short[:20] + ["x"] + short[21:50] + ["y"] + short[51:],  # 0.857 and 0.767
+    ]
+    rows = [(k, " ".join(words)) for k, words in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SMALL)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
+    contract = minhash_dedup.near_duplicates(docs, length=3, percent=85)
+    assert sorted(r.doc_id for r in contract.where("kept").collect()) == [0, 1, 2]
+
+
 def test_likelihood_follows_similarity():
     rng = np.random.default_rng(3)
     pool = rng.integers(1, 2**63, 4000).astype(np.uint64)

@@ -1,6 +1,6 @@
 """Near-duplicate documents by SetSketch registers, a joint likelihood and exact verification.
 
-*Registers.* A document is the set of its runs of ``SHINGLE`` words. For each of ``REGISTERS`` hash
+*Registers.* A document is the set of its runs of ``length`` words. For each of ``REGISTERS`` hash
 functions the smallest value over the set, as an exponential variable with rate ``RATE``, is kept
 on the scale of powers of ``BASE`` and truncated to 16 bits. Registers of two sets are merged by
 the larger value, and they agree the more often the more alike the sets are.
@@ -31,8 +31,8 @@ from wardline.llm.components import components
 from wardline.llm.embedding_dedup import _by_group, _starts, in_blocks, sorted_cells
 from wardline.llm.words import LOWER, MULTIPLIERS, WHITE, Piece, Ranges, U, mix, pieces, windows
 
-SHINGLE = 3
-PERCENT = 85
+SHINGLE = 5
+PERCENT = 80
 REGISTERS = 80
 BAND = 4
 BASE, RATE = 1.001, 20.0
@@ -44,7 +44,7 @@ _KEYS = mix(np.arange(1, 2 * REGISTERS + 1, dtype=U) * U(0x9E3779B97F4A7C15)).re
 _GRID = np.linspace(0.0, 1.0, 101)
 
 
-def shingles(piece: Piece, length: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+def shingles(piece: Piece, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and hash of every distinct shingle of a piece, by row."""
     bounds = piece.bounds
     starts = windows(piece, length)
@@ -112,21 +112,24 @@ def least_estimate(percent: int) -> float:
     return p - DEVIATIONS * np.sqrt(p * (1 - p) / REGISTERS)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in pieces(batch.column("text"), WHITE, LOWER):
-            n = len(piece.counts)
-            rows, hashes = shingles(piece)
-            found = registers(rows, hashes, n)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id").slice(piece.first, n),
-                    pa.array(names(piece), pa.binary()),
-                    pa.array(np.bincount(rows, minlength=n).astype(np.int64)),
-                    pa.array([row.tobytes() for row in found], pa.binary()),
-                ],
-                names=["doc_id", "key", "n_shingles", "registers"],
-            )
+def _sketches(length: int):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch.column("text"), WHITE, LOWER):
+                n = len(piece.counts)
+                rows, hashes = shingles(piece, length)
+                found = registers(rows, hashes, n)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(piece.first, n),
+                        pa.array(names(piece), pa.binary()),
+                        pa.array(np.bincount(rows, minlength=n).astype(np.int64)),
+                        pa.array([row.tobytes() for row in found], pa.binary()),
+                    ],
+                    names=["doc_id", "key", "n_shingles", "registers"],
+                )
+
+    return emit
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,16 +216,16 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(texts: pa.Array) -> list[np.ndarray]:
+def _sets(texts: pa.Array, length: int) -> list[np.ndarray]:
     found = []
     for piece in pieces(texts, WHITE, LOWER):
-        rows, hashes = shingles(piece)
+        rows, hashes = shingles(piece, length)
         ends = np.cumsum(np.bincount(rows, minlength=len(piece.counts)))
         found += np.split(hashes, ends[:-1])
     return found
 
 
-def _verified(percent: int):
+def _verified(length: int, percent: int):
     """Links that join the components of truly linked texts of a cell."""
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -230,7 +233,7 @@ def _verified(percent: int):
         keys, texts = table.column("key").combine_chunks(), table.column("text").combine_chunks()
         block, cell = np.array(table.column("block")), np.array(table.column("cell"))
         for low, high in zip(starts[:-1], starts[1:], strict=True):
-            sets = _sets(texts.slice(low, high - low))
+            sets = _sets(texts.slice(low, high - low), length)
             sizes = np.array([len(x) for x in sets])
             ends = np.cumsum(sizes)
             codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
@@ -272,11 +275,11 @@ def _ends(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
     return pairs.join(side("a", "own"), "a").join(side("b", "other"), "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, length: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``.
 
-    Documents are linked if ``100 * shared >= percent * all`` of their distinct shingles, ASCII
-    letters in lower case; a component is named by its smallest id, and that document is kept. A
+    Documents are linked if ``100 * shared >= percent * all`` of their distinct shingles, runs
+    of ``length`` words, ASCII letters in lower case; a component is named by its smallest id, and that document is kept. A
     text of fewer words than a shingle is one shingle. A null text and one without words have
     none and are their own component. Rows with one ``doc_id`` are kept or not together. A null id
     is no smallest id unless its component has no other; such a component is null and kept. Other
@@ -286,7 +289,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = docs.select("doc_id", "text")
     sketches = stored(
         docs.mapInArrow(
-            _sketches, f"doc_id {id_type}, key binary, n_shingles long, registers binary"
+            _sketches(length), f"doc_id {id_type}, key binary, n_shingles long, registers binary"
         ),
         "sketches",
     )
@@ -346,7 +349,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     columns = ["place", "cell", "block", "key", "text"]
     links = stored(
         sorted_cells(in_blocks(bodies, TEXTS)).select(*columns).mapInArrow(
-            _by_group(_verified(percent), columns), "a binary, b binary"
+            _by_group(_verified(length, percent), columns), "a binary, b binary"
         ),
         "verified",
     )
@@ -369,8 +372,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def op2_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Near duplicates among all documents."""
-    return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
+    """Near duplicates among all documents: three words a shingle, 85 percent shared."""
+    return near_duplicates(spark.read.parquet(f"{folder}/documents.parquet"), length=3, percent=85)
 
 
 OP2_SQL = r"""
