@@ -189,6 +189,34 @@ def test_embeddings_of_odd_rows(spark):
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
 
 
+def around(mean, n, dims=64, seed=5):
+    """Random unit vectors with a shared direction, and a copy of each at cosine 0.951."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dims))
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) + mean * np.eye(dims)[0]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    u = rng.normal(size=x.shape)
+    u -= (u * x).sum(axis=1, keepdims=True) * x
+    return x, 0.951 * x + np.sqrt(1 - 0.951**2) * u / np.linalg.norm(u, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("mean", [0.0, 1.0, 1.5, 2.0])
+def test_planted_links_meet_with_and_without_a_common_mean(mean):
+    model, limit = embedding_dedup.fit(around(mean, 4000)[0], 0.95)
+    differ = np.bitwise_xor(*[embedding_dedup.encode(x, model) for x in around(mean, 3000, seed=6)])
+    meet = np.bitwise_count(differ.view(np.uint16)).min(axis=1) <= 1
+    assert (meet & (np.bitwise_count(differ).sum(axis=1, dtype=int) <= limit)).mean() >= 0.997
+
+
+def test_links_of_vectors_with_a_strong_common_mean(spark):
+    x = np.concatenate(around(3.0, 700))
+    assert embedding_dedup.fit(x, 0.95) is None
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    links = (x @ x.T >= 0.95).sum(axis=1) - 1
+    assert links.sum() >= 1400 and [found[k] for k in range(len(x))] == links.tolist()
+
+
 def test_chunks_do_not_change_ids(spark):
     texts = ["x" * 5000, "a b" * 3000, "12 " * 2000 + "don't  \n\n won't!!!'sabc" * 300, None, "", "!" * 9000]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

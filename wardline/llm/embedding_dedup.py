@@ -2,12 +2,16 @@
 
 *Codes.* On a bounded sample of vectors a rotation is learnt that puts the principal directions
 as near as possible to the corners of a cube; the signs of a rotated vector are its bits. Several
-rotations from different starts give ``ROTATIONS`` words of bits.
+rotations from different starts give a word of bits each. How many it takes, and in how many bits
+linked vectors differ, is measured on pairs planted around the sample at exactly the least cosine:
+centred vectors differ by a larger angle than raw ones where all share a direction. Rotations are
+added until tables and radius miss ``MISSED`` of these pairs at most; if ``MOST_ROTATIONS`` do not,
+all vectors are one candidate group.
 
 *Tables.* Every code is cut into substrings of ``SUBSTRING`` bits, one table each. Two vectors meet
 in a table if their substrings differ in one bit at most: a vector is filed under its substring and
 probes those with one of its zeros turned into a one, so a pair that differs in one bit meets
-once. Where vectors meet, their whole codes are compared, and pairs within ``RADIUS`` join one
+once. Where vectors meet, their whole codes are compared, and pairs within the radius join one
 candidate group. Only links to the smallest such partner leave a task.
 
 *Rerank.* In each candidate group all vectors are compared by cosine in double precision, in blocks
@@ -32,6 +36,8 @@ from wardline.llm.components import components
 
 LEAST_COSINE = 0.95
 ROTATIONS = 3
+MOST_ROTATIONS = 16
+MISSED = 0.001
 SUBSTRING = 16
 SAMPLE = 4_000
 BLOCK = 1_024
@@ -66,10 +72,41 @@ def encode(x: np.ndarray, model: list[tuple]) -> np.ndarray:
     return out
 
 
-def radius(bits: int, least: float) -> int:
-    """Bits in which vectors of the least cosine differ, and four and a half deviations more."""
-    p = np.arccos(least) / np.pi
-    return int(np.ceil(bits * p + 4.5 * np.sqrt(bits * p * (1 - p)) + 1))
+def planted(sample: np.ndarray, least: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors of exactly the least cosine around the sample.
+
+    They differ in any direction in the first list, and as vectors of the sample do in the second.
+    """
+    rng = np.random.default_rng(0)
+    x = np.resize(sample, (max(SAMPLE, len(sample)), sample.shape[1]))
+    others = [sample[rng.integers(len(sample), size=len(x))] for _ in range(2)]
+    pairs = []
+    for u in (rng.normal(size=x.shape), others[0] - others[1]):
+        u = u - (u * x).sum(axis=1, keepdims=True) * x
+        size = np.linalg.norm(u, axis=1)
+        some = size > 1e-9
+        y = least * x[some] + np.sqrt(1 - least**2) * u[some] / size[some, None]
+        if some.any():
+            pairs.append((x[some], y))
+    return pairs
+
+
+def fit(sample: np.ndarray, least: float) -> tuple[list[tuple], int] | None:
+    """The fewest rotations, and the radius, that find planted pairs; none if too many are missed."""
+    pairs = planted(sample, least)
+    for most in (ROTATIONS, MOST_ROTATIONS):
+        model = learn(sample, most)
+        tables = max(1, model[0][1].shape[1] // SUBSTRING)
+        codes = [encode(x, model) ^ encode(y, model) for x, y in pairs]
+        for n in range(ROTATIONS, most + 1):
+            differ = [np.ascontiguousarray(c[:, :n]) for c in codes]
+            far = [np.bitwise_count(d).sum(axis=1, dtype=np.int64) for d in differ]
+            # The mean and four and a half deviations more, and what was seen at least.
+            limit = max([max(int(np.ceil(f.mean() + 4.5 * f.std() + 1)), int(f.max())) for f in far], default=0)
+            parts = [d.view(np.uint16).reshape(len(d), n, -1)[:, :, :tables] for d in differ]
+            if all((np.bitwise_count(p).min(axis=(1, 2)) > 1).mean() <= MISSED for p in parts):
+                return model[:n], limit
+    return None
 
 
 def _usable(column: pa.Array) -> tuple[list, np.ndarray]:
@@ -342,22 +379,27 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
 
 def _linked(groups: DataFrame, sample: np.ndarray, least: float) -> tuple[DataFrame, DataFrame]:
     """Weighted link counts, and the component of every vector that has a link."""
-    model = learn(sample)
+    found = fit(sample, least)
+    if found is None:
+        return _ranked(groups.select(F.lit("").alias("place"), "key", "n", "unit"), least)
+    model, limit = found
     words = len(model)
-    bits = words * model[0][1].shape[1]
     code = ", ".join(f"w{i} long" for i in range(words))
     names = ["place", "cell", "block", "probe", "key", *[f"w{i}" for i in range(words)]]
     filed = groups.select("key", "unit").mapInArrow(
         _filed(model), f"place long, probe boolean, key string, {code}"
     )
     meetings = sorted_cells(in_blocks(filed)).select(*names)
-    pairs = meetings.mapInArrow(
-        _by_group(_meet(words, radius(bits, least)), names), "a string, b string"
-    )
+    pairs = meetings.mapInArrow(_by_group(_meet(words, limit), names), "a string, b string")
     candidates = components(pairs)
     rows = groups.join(candidates, F.col("key") == F.col("id")).select(
         F.col("component").alias("place"), "key", "n", "unit"
     )
+    return _ranked(rows, least)
+
+
+def _ranked(rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """The same of rows that are compared with all of their ``place``."""
     names = ["place", "cell", "block", "key", "n", "unit"]
     ranked = stored(
         sorted_cells(in_blocks(rows)).select(*names).mapInArrow(
