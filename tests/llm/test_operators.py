@@ -208,6 +208,16 @@ def test_planted_links_meet_with_and_without_a_common_mean(mean):
     assert (meet & (np.bitwise_count(differ).sum(axis=1, dtype=int) <= limit)).mean() >= 0.997
 
 
+def test_vectors_of_every_length_link_among_themselves(spark):
+    sets = [around(0.0, 40, dims=8), around(0.0, 20, dims=12), around(0.5, 540, dims=64), around(0.5, 520, dims=48)]
+    sets = [np.concatenate(pair) for pair in sets]
+    x = [v for own in sets for v in own]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df).collect()}
+    links = [n for own in sets for n in (own @ own.T >= 0.95).sum(axis=1) - 1]
+    assert [found[k] for k in range(len(x))] == links
+
+
 def test_links_of_vectors_with_a_strong_common_mean(spark):
     x = np.concatenate(around(3.0, 700))
     assert embedding_dedup.fit(x, 0.95) is None

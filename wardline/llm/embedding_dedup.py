@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -328,8 +329,8 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
     nothing and is its own component; so do vectors of different lengths. Equal vectors link.
     ``n_links`` counts rows, so a repeated row is a link. A null id is never the smallest of a
     component that has another; a component of null ids alone is null, and its rows are kept.
-    Vectors with another length than most of the sample are compared among themselves only by
-    equality. Other columns are not read; no rows give no rows.
+    Each length has its own codes; a length of no more than a block of vectors needs none. Other
+    columns are not read; no rows give no rows.
     """
     id_type = vectors.schema["vec_id"].dataType.simpleString()
     rows = stored(
@@ -342,18 +343,22 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
         F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("unit").alias("unit")
     )
     groups = stored(groups, "vectors")
-    share = SAMPLE / max(1, groups.count())
+    size = F.octet_length("unit")
+    counted = {r[0]: r[1] for r in groups.groupBy(size).count().collect()}
+    many = sorted(k for k, n in counted.items() if n > BLOCK)
+    linked = []
+    if len(many) < len(counted):
+        few = groups.where(~size.isin(many)).select(size.cast("string").alias("place"), "key", "n", "unit")
+        linked.append(_ranked(few, least))
     draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
-    sample = [np.frombuffer(r[0], float) for r in groups.where(draw < share).orderBy("key").select("unit").collect()]
-    linked = None
-    if sample:
-        dims = int(np.median([len(x) for x in sample]))
-        x = np.array([x for x in sample if len(x) == dims]).reshape(-1, dims)
-        linked = _linked(groups.where(F.octet_length("unit") == 8 * dims), x, least)
-    if linked is None:
+    for k in many:
+        own = groups.where(size == k)
+        sample = own.where(draw < SAMPLE / counted[k]).orderBy("key").select("unit").collect()
+        linked.append(_linked(own, np.array([np.frombuffer(r[0], float) for r in sample]), least))
+    if not linked:
         found = groups.select("key", F.lit(0).cast("long").alias("links"), F.col("first").alias("least"))
     else:
-        counts, labels = linked
+        counts, labels = (reduce(DataFrame.unionByName, frames) for frames in zip(*linked, strict=True))
         parts = groups.join(labels, F.col("key") == F.col("id"), "left").withColumn(
             "part", F.coalesce("component", "key")
         )
