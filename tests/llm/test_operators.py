@@ -255,6 +255,19 @@ def test_quality(spark, odd, none):
     assert quality.fit(docs, labels.where("false")).base == 0.5
 
 
+def test_hosts_and_paths_of_slash_and_url_sources(spark):
+    sites = {
+        "a/b/c": ("a", "b/c"), "a/b/d": ("a", "b/d"), "web": ("web", ""), "": ("", ""), None: ("\0", ""),
+        "http://a.com/x": ("a.com", "x"), "HTTPS://a.com/x/y": ("a.com", "x/y"), "s3a://b": ("b", ""),
+    }
+    docs = spark.createDataFrame([(s,) for s in sites], "source string")
+    assert {r.source: (r._host, r._path) for r in quality.with_sites(docs).collect()} == sites
+    rows = [("http://good.org/x", 6.0)] * 200 + [("http://bad.org/x/p", -6.0)] * 200 + [("http://bad.org/x/q", 6.0)] * 100
+    evidence = quality.with_sites(spark.createDataFrame(rows, "source string, log_odds double"))
+    prior = {(r._host, r._path): r.prior for r in quality.site_priors(evidence, 0.5).collect()}
+    assert prior["good.org", "x"] > 0.9 > 0.1 > prior["bad.org", "x/p"] and prior["bad.org", "x/q"] > 0.5
+
+
 def test_sites_shrink_to_the_rate_above(spark):
     rows = [("big", "", 6.0)] * 400 + [("bad", "", -6.0)] * 400 + [("tiny", "", -6.0)]
     evidence = spark.createDataFrame(rows, "_host string, _path string, log_odds double")

@@ -9,8 +9,8 @@ The strengths are estimated from the data (method of moments over the sites). A
 posterior odds are its evidence times the odds of its path relative to the global odds, so a
 path with three documents says hardly anything and one with a million says what they say.
 
-The host is the part of ``source`` before the first slash, the path its next part, empty if there
-is none. Grouping is by partial aggregation over narrow rows. The table of sites is joined by its
+The host is the part of ``source`` before the first slash, without a scheme such as ``http://``, the
+path all that follows that slash, empty if there is none. Grouping is by partial aggregation over narrow rows. The table of sites is joined by its
 measured size; there may be any number of sites.
 """
 
@@ -180,7 +180,8 @@ def _strength(groups: DataFrame, good: str, n: str, rate) -> float:
 
 def with_sites(docs: DataFrame) -> DataFrame:
     """Add ``_host`` and ``_path``; a null source is a host of its own, its path is empty."""
-    parts = F.split(F.coalesce(F.col("source"), F.lit("\0")), "/")
+    site = F.regexp_replace(F.coalesce(F.col("source"), F.lit("\0")), "^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    parts = F.split(site, "/", 2)
     return docs.withColumn("_host", parts[0]).withColumn(
         "_path", F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))
     )
