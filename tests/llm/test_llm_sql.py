@@ -14,7 +14,7 @@ from wardline.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     df = QUERIES[name](spark, SMALL)
     result = duck.execute(ORACLE[name])

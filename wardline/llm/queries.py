@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardline.llm.alignment import op11_alignment
 from wardline.llm.byte_bpe import op8_byte_bpe
 from wardline.llm.embedding_dedup import OP7_SQL, op7_embedding_dedup
 from wardline.llm.fingerprints import op3_fingerprints
 from wardline.llm.language_id import op5_language_id
+from wardline.llm.lexical import OP13_SQL, op13_ranked_search
 from wardline.llm.minhash_dedup import OP2_SQL, op2_minhash_dedup
 from wardline.llm.mixing import OP4_SQL, op4_mixing
+from wardline.llm.packing import op12_packing
 from wardline.llm.quality import op9_quality
 from wardline.llm.sharding import op10_sharding
 from wardline.llm.substring_dedup import OP1_SQL, op1_substring_dedup
@@ -30,6 +33,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_byte_bpe,
         op9_quality,
         op10_sharding,
+        op11_alignment,
+        op12_packing,
+        op13_ranked_search,
     )
 }
 
@@ -38,4 +44,5 @@ ORACLE: dict[str, str] = {
     "op2_minhash_dedup": OP2_SQL,
     "op4_mixing": OP4_SQL,
     "op7_embedding_dedup": OP7_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
