@@ -6,6 +6,8 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -57,6 +59,19 @@ def test_pieces_are_those_of_whole_texts(spark):
     check_places(rows, 4_096)
 
 
+latin = st.text(st.characters(max_codepoint=0x250, exclude_categories=["Cc"]), max_size=40)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(latin, st.sampled_from([t for t in TEXTS if t])), max_size=4))
+def test_ids_are_those_of_the_tokenizer(texts):
+    tools = packing.words(packing.public_tokenizers.path(packing.TOKENIZER))
+    ids, counts = tools.ids(texts)
+    expected = [tools.tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert counts.tolist() == [len(own) for own in expected]
+    assert ids.tolist() == [x for own in expected for x in own]
+
+
 def test_odd_rows_and_none(odd, none):  # noqa: F811
     clashing = odd.selectExpr("*", "1 AS piece", "2 AS cell", "3 AS open", "4 AS sequence_id")
     rows = packing.pack_documents(clashing).collect()

@@ -16,7 +16,7 @@ stretches between neighbouring token ends. How often a pair of ids is linked in
 grouping of links that were counted by text before.
 
 Texts are tokenised in units that end before a space between two characters that are neither white
-space nor U+2581. Neither tokenizer has a token across such a place (the pieces of the second are
+space nor U+2581; a space is put before the text, so each unit begins with one. Neither tokenizer has a token across such a place (the pieces of the second are
 searched for one; if there is, a text is one unit). A unit longer than ``GIANT`` bytes stays whole in
 the span in which it begins.
 """
@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.common import read, stored
-from wardline.llm.units import Units
+from wardline.llm.units import NOT_PLAIN, Encoded, Units, byte_letters, flat, ranks
 
 A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
@@ -53,13 +53,6 @@ _INNER = r"[^\s▁\u180e\u200b\ufeff]"
 UNIT_END = re.compile(rf"(?<={_INNER}) (?={_INNER})")
 
 
-def _byte_letters() -> dict[str, int]:
-    """The character that stands for each byte in a byte-level vocabulary."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
-
-
 class Tokenizers:
     """Both tokenizers with the bytes of their tokens, and the units met so far."""
 
@@ -71,7 +64,7 @@ class Tokenizers:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        letters = _byte_letters()
+        letters = byte_letters()
         self.a_bytes = [b""] * self.a.get_vocab_size()
         for token, own in self.a.get_vocab().items():
             known = all(c in letters for c in token)
@@ -86,24 +79,47 @@ class Tokenizers:
         self.whole = any(re.search("[^▁]▁", p) for p in pieces)
         self.a_lengths = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_units = Units(lambda units: [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)])
-        # This tokenizer puts the space before a text itself.
-        self.b_units = Units(lambda units: self.b.encode([u[1:] for u in units], num_threads=1))
+        # Equal to the first tokenizer on plain units, and quicker.
+        self.quick = ranks(a_path, public_tokenizers.PATTERN)
+        self.known = Units(self.encoded, tables=3)
 
     def units(self, text: str) -> list[str]:
-        """The units of a text, a space before it included."""
-        if self.whole:
-            return [" " + text]
-        first, *rest = UNIT_END.split(" " + text)
-        return [first, *(" " + part for part in rest)]
-
-    def exact(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
-        """Whether the tokens of both, put together, are the text's bytes behind a space."""
-        raw = b" " + text.encode()
-        return (
-            b"".join(map(self.a_bytes.__getitem__, a.tolist())) == raw
-            and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == raw
-        )
+        """The units of a text, each without the space before it, which the first one has too."""
+        return [text] if self.whole else UNIT_END.split(text)
+
+    def encoded(self, units: list[str]) -> Encoded:
+        """Ids of both, and whether they give back the unit's bytes."""
+        b, b_counts = flat(self.b.encode(units, num_threads=1))  # puts the space before a text itself
+        plain = [not NOT_PLAIN.search(unit) for unit in units] if self.quick else [False] * len(units)
+        if all(plain):
+            a, a_counts = self.quickly(units)
+        else:
+            rest = (u for u, known in zip(units, plain, strict=True) if not known)
+            slow = iter(self.a.encode_batch_fast([f" {u}" for u in rest], add_special_tokens=False))
+            a, a_counts = flat(
+                [self.quick.encode_ordinary(f" {u}") if p else next(slow).ids for u, p in zip(units, plain, strict=True)]
+            )
+        lengths = np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))
+        exact = np.ones(len(units), np.int64)
+        raw = f" {' '.join(units)}".encode()
+        for ids, counts, known, sizes in (
+            (a, a_counts, self.a_bytes, self.a_lengths), (b, b_counts, self.b_bytes, self.b_lengths)
+        ):
+            sums = np.concatenate([[0], np.cumsum(sizes[ids])])
+            bounds = np.concatenate([[0], np.cumsum(counts)])
+            whole = b"".join(map(known.__getitem__, ids.tolist()))
+            if whole == raw and (np.diff(sums[bounds]) == lengths).all():
+                continue
+            at = sums[bounds].tolist()
+            exact &= [whole[i:j] == f" {u}".encode() for i, j, u in zip(at, at[1:], units, strict=False)]
+        return [(a, a_counts), (b, b_counts), (exact, np.ones(len(units), np.int64))]
+
+    def quickly(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain units by ranks: all in one text, parted where the bytes of each end."""
+        ids = np.array(self.quick.encode_ordinary(f" {' '.join(units)}"), np.int64)
+        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        last = np.searchsorted(np.cumsum(self.a_lengths[ids]), ends) + 1
+        return ids, np.diff(last, prepend=0)
 
 
 @lru_cache(maxsize=2)
@@ -270,17 +286,16 @@ class Span:
 def _ranges(spans: list[Span], tools: Tokenizers, size: int, giant: int) -> list[Fragment | None]:
     """The fragment of every span, from those of its ranges; ``None`` if its bytes are not kept."""
     lists = [tools.units(span.text) for span in spans]
-    units = [unit for own in lists for unit in own]
     counts = np.array([len(own) for own in lists])
-    a, per_a = tools.a_units.of(tools.a_units.numbers(units))
-    b, per_b = tools.b_units.of(tools.b_units.numbers(units))
+    numbers = tools.known.numbers([unit for own in lists for unit in own])
+    (a, per_a), (b, per_b), (exact, _) = (tools.known.of(numbers, table) for table in range(3))
     sums_a, sums_b = np.concatenate([[0], np.cumsum(per_a)]), np.concatenate([[0], np.cumsum(per_b)])
     bounds = np.concatenate([[0], np.cumsum(counts)])
     first_a, first_b = sums_a[bounds], sums_b[bounds]
     found: list[Fragment | None] = []
     for k, span in enumerate(spans):
         own_a, own_b = a[first_a[k] : first_a[k + 1]], b[first_b[k] : first_b[k + 1]]
-        if not tools.exact(span.text, own_a, own_b):
+        if not exact[bounds[k] : bounds[k + 1]].all():
             found.append(None)
             continue
         ends_a = span.begin + np.cumsum(tools.a_lengths[own_a])
@@ -288,7 +303,7 @@ def _ranges(spans: list[Span], tools: Tokenizers, size: int, giant: int) -> list
         starts_a, starts_b = ends_a - tools.a_lengths[own_a], ends_b - tools.b_lengths[own_b]
         if span.n_spans > 1:
             # Tokens of a very long unit count where the unit begins.
-            lengths = np.array([len(u.encode()) for u in lists[k]])
+            lengths = np.array([len(u.encode()) + 1 for u in lists[k]])
             unit_starts = span.begin + np.cumsum(lengths) - lengths
             for starts, per in ((starts_a, per_a), (starts_b, per_b)):
                 own = per[bounds[k] : bounds[k + 1]]
@@ -424,7 +439,7 @@ def _cut(paths: tuple[str, str], span: int, giant: int):
         for batch in batches:
             for n in range(batch.num_rows):
                 units = tools.units(batch.column("text")[n].as_py())
-                lengths = np.array([len(u.encode()) for u in units])
+                lengths = np.array([len(u.encode()) + 1 for u in units])
                 ends = np.cumsum(lengths)
                 starts = ends - lengths
                 reach = np.where(lengths > giant, starts + 1, ends)
@@ -433,7 +448,7 @@ def _cut(paths: tuple[str, str], span: int, giant: int):
                     i, j = np.searchsorted(reach, low, "right"), np.searchsorted(starts, low + span)
                     if i == j:
                         continue
-                    own = [k, len(edges), starts[i], low, low + span, "".join(units[i:j])[1:]]
+                    own = [k, len(edges), starts[i], low, low + span, " ".join(units[i:j])]
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("doc_id")[n : n + 1], batch.column("row")[n : n + 1]]
                         + [pa.array([x]) for x in own],

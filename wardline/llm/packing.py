@@ -16,6 +16,7 @@ end when what is open fits one cell, or no longer halves.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.common import read, stored
-from wardline.llm.units import Units
+from wardline.llm.units import NOT_PLAIN, Encoded, Units, flat, ranks
 from wardline.llm.words import slices, text_buffer
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,31 +39,71 @@ CELL = 4_096
 OPEN = 1 / 16
 
 
-@lru_cache(maxsize=2)
-def _units(path: str) -> Units:
-    """Words as units: this tokenizer drops white space and has no token across it."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+# Words of plain text, lower-cased, as the tokenizer parts them.
+_LETTER = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+WORD = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[{_NUMBER}]|[^\s{_LETTER}{_NUMBER}]+")
+END = "\x01"
+
+
+class Words:
+    """Ids of texts from those of words met before.
+
+    The tokenizer drops white space and has no token across it. Words of plain texts are parted here and
+    encoded by ranks; other texts are parted at spaces only and left to the tokenizer.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = re.compile("|".join([NOT_PLAIN.pattern, *(re.escape(t.content) for t in added)]))
+        self.quick = ranks(path, f"[^{END}]*{END}", "</w>", END.encode())
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, own in self.tokenizer.get_vocab().items():
+            self.ends[own] = token.endswith("</w>")
+        self.words, self.others = Units(self.by_ranks), Units(self.by_tokenizer)
+
+    def by_ranks(self, words: list[str]) -> Encoded:
+        ids = np.array(self.quick.encode_ordinary(END.join(words) + END), np.int64)
+        return [(ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))]
+
+    def by_tokenizer(self, words: list[str]) -> Encoded:
+        return [flat([e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)])]
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts one after the other, and how many each has."""
+        plain = [self.quick is not None and not self.special.search(text) for text in texts]
+        lists = [WORD.findall(t.lower()) if p else t.split(" ") for t, p in zip(texts, plain, strict=True)]
+        if all(plain) or not any(plain):
+            units = self.words if all(plain) else self.others
+            ids, counts = units.of(units.numbers([word for own in lists for word in own]))
+            bounds = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, lists)])]
+            return ids, np.diff(bounds)
+        parts = [self.ids([text]) for text in texts]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
-    tokenizer = Tokenizer.from_file(path)
-    return Units(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+
+@lru_cache(maxsize=2)
+def words(path: str) -> Words:
+    return Words(path)
 
 
 def _pieces(path: str, end_mark: int, length: int):
     """``doc_id, piece, start, length, ids_crc32, ids`` of every text."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _units(path)
+        tools = words(path)
         for batch in batches:
             _, offsets = text_buffer(batch.column("text"))
             for first, last in slices(offsets):
                 some = batch.slice(first, last - first)
-                lists = [(text or "").split(" ") for text in some.column("text").to_pylist()]
-                ids, counts = units.of(units.numbers([word for own in lists for word in own]))
-                words = np.cumsum([0, *map(len, lists)])
-                bounds = np.concatenate([[0], np.cumsum(counts)])[words]
+                ids, counts = tools.ids([text or "" for text in some.column("text").to_pylist()])
+                bounds = np.concatenate([[0], np.cumsum(counts)])
                 rows, own_pieces, own_starts, own_lengths, marks = [], [], [], [], []
-                for k in range(len(lists)):
+                for k in range(len(some)):
                     own = np.append(ids[bounds[k] : bounds[k + 1]], end_mark).astype("<u4")
                     for n, at in enumerate(range(0, len(own), length)):
                         part = own[at : at + length]
