@@ -81,7 +81,7 @@ class Tokenizers:
         self.b_lengths = np.array([len(x) for x in self.b_bytes], np.int64)
         # Equal to the first tokenizer on plain units, and quicker.
         self.quick = ranks(a_path, public_tokenizers.PATTERN)
-        self.known = Units(self.encoded, tables=3)
+        self.known = Units(self.encoded, tables=3, most=1 << 21)
 
     def units(self, text: str) -> list[str]:
         """The units of a text, each without the space before it, which the first one has too."""
