@@ -213,6 +213,21 @@ def _access(only_inheriting: bool) -> str:
 FROM {{users}} u JOIN {{user_groups}} g ON u.id = g.id JOIN ({_FINAL}) f ON u.id = f.id {condition}"""
 
 
+_ABOVE = """above AS (
+  SELECT display AS "group", displayname AS above FROM {team_members}
+  WHERE display IN (SELECT displayname FROM {teams})
+  UNION SELECT a."group", m.displayname FROM above a JOIN {team_members} m ON m.display = a.above)"""
+
+_NESTED = f"""{_ABOVE},
+passed AS (SELECT * FROM {{team_entitlements}}
+  UNION SELECT a."group", e.value FROM above a JOIN {{team_entitlements}} e ON e.displayname = a.above),
+inherited AS (SELECT DISTINCT id, value FROM {{team_users}} JOIN passed ON display = displayname)"""
+
+# Answers for names ending in 5 are cut off, in 7 they failed, in 9 they are empty.
+_REASON = """CASE right(identifier, 1) WHEN '7' THEN 'status 500' WHEN '9' THEN 'no answer'
+  WHEN '5' THEN 'malformed' END"""
+
+
 def _cipher_length(column: str) -> str:
     # Twelve bytes of nonce and sixteen of tag, then four characters for every three bytes.
     return f"CAST(4 * ceil((28 + strlen({column})) / 3.0) AS INTEGER)"
@@ -263,6 +278,31 @@ FROM ({_HISTORY})""",
     "sink_append": f"SELECT * REPLACE ('notAudited' AS status) FROM ({_HISTORY})",
     "reports_from_metadata_folder": _inherit(_ALL_ASSETS),
     "audit_mark_stored_plan": _HISTORY,
+    "audit_mark_runs": _HISTORY,
+    "discovery_report_from_metadata_folder": _inherit(_DISCOVERY),
+    "assets_from_metadata_tables": _inherit(_ALL_ASSETS),
+    "function_report_from_metadata_tables": _inherit(_FUNCTIONS),
+    "function_validity_from_metadata_folder": f"SELECT *, markedAt AS lastCheckedAt FROM ({_HISTORY})",
+    "principal_report_from_access_table": f"""SELECT userName AS Principal, Groups,
+  entitlements AS workspaceAccess FROM ({_access(only_inheriting=True)})""",
+    "refresh_tags_from_landing": _TWO_RUNS,
+    "merge_tags_colocated": _MERGED_TAGS,
+    "tag_answers": f"""SELECT identifier, CASE WHEN right(identifier, 1) = '7' THEN 500 ELSE 200 END
+    AS status_code,
+  CASE WHEN {_REASON} IS NULL THEN tags END AS tags, {_REASON} AS reason
+FROM {{securables}} LEFT JOIN ({_tags("scanned_observations")}) USING (identifier)""",
+    "rejected_answers": f"""SELECT identifier, {_REASON} AS reason, {_FIRST} AS landed_at
+FROM {{securables}} WHERE {_REASON} IS NOT NULL""",
+    "nested_groups": f"""WITH RECURSIVE {_ABOVE}
+SELECT * FROM above WHERE "group" <> above""",
+    "inherited_entitlements_nested": f"""WITH RECURSIVE {_NESTED}
+SELECT id AS userId, list AS inherited_entitlements
+FROM ({_listed("SELECT * FROM inherited", "id", "value")})""",
+    "principal_access_nested": f"""WITH RECURSIVE {_NESTED}
+SELECT DISTINCT u.username AS userName, g.display AS Groups, f.value AS entitlements
+FROM {{users}} u JOIN {{team_users}} g ON u.id = g.id
+JOIN (SELECT id, value FROM {{user_entitlements}} UNION SELECT id, value FROM inherited) f ON u.id = f.id
+WHERE u.id IN (SELECT id FROM inherited)""",
     "enumerate_securables": _IN_SCOPE,
     "listed_securables": _IN_SCOPE,
     "refresh_tag_table": _TWO_RUNS,

@@ -32,11 +32,14 @@ def scanned_tags(relations: Relations) -> DataFrame:
     return tags_table(relations["scanned_observations"])
 
 
-def tag_payloads(relations: Relations, observations: str = "scanned_observations") -> DataFrame:
+def tag_payloads(
+    relations: Relations, observations: str = "scanned_observations", broken: bool = False
+) -> DataFrame:
     """The tag service's answer for every securable.
 
     Names ending in 7 fail; untagged ones get an assignment without tags, or no assignment if
-    their name ends in 3; a second assignment is there to be ignored.
+    their name ends in 3; a second assignment is there to be ignored. With ``broken``, answers for
+    names ending in 5 are cut off and those for names ending in 9 are empty.
     """
     last = F.right("identifier", F.lit(1))
     scanned = tags_table(relations[observations]).select("identifier", "tags")
@@ -50,6 +53,8 @@ def tag_payloads(relations: Relations, observations: str = "scanned_observations
         .otherwise(F.array(F.struct("tags")))
     )
     answer = F.to_json(F.struct(assignments.alias("tag_assignments")))
+    if broken:
+        answer = F.when(last == "5", F.left(answer, F.length(answer) - 2)).when(last != "9", answer)
     failed = last == "7"
     return relations["securables"].join(scanned, "identifier", "left").select(
         "identifier",
@@ -97,9 +102,9 @@ def _named_list(df: DataFrame, key: str, field: str, name: str) -> DataFrame:
     return df.groupBy(key).agg(F.collect_set(F.struct(field)).alias(name))
 
 
-def user_payloads(relations: Relations) -> DataFrame:
+def user_payloads(relations: Relations, memberships: str = "user_groups") -> DataFrame:
     """One identity record per user; an empty list is left out of the record."""
-    groups = _named_list(relations["user_groups"], "id", "display", "groups")
+    groups = _named_list(relations[memberships], "id", "display", "groups")
     direct = _named_list(relations["user_entitlements"], "id", "value", "entitlements")
     record = F.struct(
         "id",
@@ -112,10 +117,15 @@ def user_payloads(relations: Relations) -> DataFrame:
     return joined.select(F.to_json(record).alias("payload"))
 
 
-def group_payloads(relations: Relations) -> DataFrame:
+def group_payloads(
+    relations: Relations,
+    named: str = "user_groups_named",
+    members: str = "group_members",
+    entitlements: str = "group_entitlements",
+) -> DataFrame:
     """One identity record per group."""
-    members = _named_list(relations["group_members"], "displayname", "display", "members")
-    passed_on = _named_list(relations["group_entitlements"], "displayname", "value", "entitlements")
+    members = _named_list(relations[members], "displayname", "display", "members")
+    passed_on = _named_list(relations[entitlements], "displayname", "value", "entitlements")
     record = F.struct(
         F.concat(F.lit("g-"), "displayname").alias("id"),
         F.col("displayname").alias("displayName"),
@@ -123,8 +133,16 @@ def group_payloads(relations: Relations) -> DataFrame:
         "entitlements",
     )
     joined = (
-        relations["user_groups_named"]
+        relations[named]
         .join(members, "displayname", "left")
         .join(passed_on, "displayname", "left")
     )
     return joined.select(F.to_json(record).alias("payload"))
+
+
+def team_payloads(relations: Relations) -> tuple[DataFrame, DataFrame]:
+    """Identity records of users and of groups within groups."""
+    return (
+        user_payloads(relations, "team_users"),
+        group_payloads(relations, "teams", "team_members", "team_entitlements"),
+    )

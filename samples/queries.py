@@ -13,7 +13,8 @@ from samples.relations import Relations
 from wardline.constants import ALL_PRIVILEGES, CATALOG, INHERITED_PRIVILEGES, SCHEMA, TABLE
 from wardline.functions import cipher, names, routine_rules
 from wardline import schemas
-from wardline.operators import entitlements, grants, securables
+from wardline.operators import entitlements, grants, membership, securables
+from wardline.plans import landing as landing_job
 from wardline.plans import audit, principals, protection, reports, tagging
 from wardline.session import scratch_folder
 from wardline.sinks import tables as sinks
@@ -191,6 +192,57 @@ def reports_from_metadata_folder(spark, r):
     return reports.all_assets_report(saved.read_metadata(spark, folder), privilege_lookup(spark))
 
 
+def landed_metadata(spark: SparkSession, r: Relations, as_tables: bool = False) -> Relations:
+    """All metadata relations, saved in a folder or as tables of a catalog schema, and read again."""
+    source = scratch_folder(spark, "metadata")
+    if as_tables:
+        source = table_name("metadata")
+        spark.sql(f"CREATE DATABASE {source}")
+    for name in schemas.METADATA:
+        save(r[name], f"{source}{'.' if as_tables else '/'}{name}", "errorifexists")
+    return saved.read_metadata(spark, source)
+
+
+@query
+def discovery_report_from_metadata_folder(spark, r):
+    tags = payloads.stored_tags(r)
+    return comparable(
+        reports.discovery_report(tags, landed_metadata(spark, r), privilege_lookup(spark))
+    )
+
+
+@query
+def assets_from_metadata_tables(spark, r):
+    return reports.all_assets_report(landed_metadata(spark, r, True), privilege_lookup(spark))
+
+
+@query
+def function_report_from_metadata_tables(spark, r):
+    return reports.function_report(landed_metadata(spark, r, True), privilege_lookup(spark))
+
+
+@query
+def function_validity_from_metadata_folder(spark, r):
+    """The validity report over two recorded runs, whose routines were landed."""
+    metadata, target = landed_metadata(spark, r), scratch_folder(spark, "audit")
+    plan = scratch_folder(spark, "plan")
+    audit.record_audit(metadata["routines"], target, at(FIRST_RUN))
+    save(audit.removal_plan(audit.read_history(spark, target)), plan, "errorifexists")
+    audit.mark_removed_in_runs(spark, target, saved.read_saved(spark, plan))
+    audit.record_audit(metadata["routines"], target, at(SECOND_RUN))
+    return comparable(reports.function_validity_report(audit.read_history(spark, target)))
+
+
+@query
+def principal_report_from_access_table(spark, r):
+    """The principal report over the table that the access job keeps."""
+    table, folder = table_name("access"), scratch_folder(spark, "access")
+    principals.refresh_access_table(
+        spark, table, folder, payloads.user_payloads(r), payloads.group_payloads(r)
+    )
+    return reports.principal_report(saved.read_saved(spark, table))
+
+
 # Routine audit
 
 
@@ -236,20 +288,31 @@ def sink_append(spark, r):
     target = scratch_folder(spark, "audit")
     for run in (FIRST_RUN, SECOND_RUN):
         audit.record_audit(r["routines"], target, at(run))
-    return comparable(saved.read_saved(spark, target))
+    return comparable(audit.read_history(spark, target))
+
+
+@query
+def audit_mark_runs(spark, r):
+    """A history stored by run, whose first run is marked; a run that is recorded again counts once."""
+    target, plan = scratch_folder(spark, "audit"), scratch_folder(spark, "plan")
+    audit.record_audit(r["routines"], target, at(FIRST_RUN))
+    save(audit.removal_plan(audit.read_history(spark, target)), plan, "errorifexists")
+    for _ in range(2):
+        audit.record_audit(r["routines"], target, at(SECOND_RUN))
+        audit.mark_removed_in_runs(spark, target, saved.read_saved(spark, plan))
+    return comparable(audit.read_history(spark, target))
 
 
 @query
 def audit_mark_stored_plan(spark, r):
     """A stored plan is marked in a stored history; the run added after the plan stays open."""
     table, folder = table_name("audit"), scratch_folder(spark, "audit")
-    first = saved.typed(audit.routine_audit(r["routines"], at(FIRST_RUN)), schemas.ROUTINE_AUDIT)
-    sinks.publish_version(first, table, folder)
+    audit.record_audit(r["routines"], table, at(FIRST_RUN))
     plan = f"{folder}/plan"
-    save(audit.removal_plan(saved.read_saved(spark, table)), plan, "errorifexists")
+    save(audit.removal_plan(audit.read_history(spark, table)), plan, "errorifexists")
     audit.record_audit(r["routines"], table, at(SECOND_RUN))
     audit.mark_removed_in_table(spark, table, folder, saved.read_saved(spark, plan))
-    return comparable(saved.read_saved(spark, table))
+    return comparable(audit.read_history(spark, table))
 
 
 # Tags
@@ -272,6 +335,54 @@ def refresh_tag_table(spark, r):
     return comparable(saved.read_saved(spark, table))
 
 
+def land(r: Relations, observations: str, moment: str, landing: str, broken: bool = False) -> None:
+    """Answers of one scan, added to the files of a landing folder."""
+    answers = payloads.tag_payloads(r, observations, broken)
+    landed_at = at(moment).alias("landed_at")
+    save(saved.typed(answers.select("*", landed_at), schemas.LANDED_ANSWER), landing, "append")
+
+
+@query
+def refresh_tags_from_landing(spark, r):
+    """The same two scans from a landing folder; a third run finds nothing new."""
+    table, folder = table_name("tags"), scratch_folder(spark, "tags")
+    landing = scratch_folder(spark, "landing")
+    land(r, "stored_observations", FIRST_RUN, landing)
+    landing_job.refresh_from_landing(spark, table, folder, landing, r, buckets=4)
+    land(r, "scanned_observations", SECOND_RUN, landing)
+    for _ in range(2):
+        landing_job.refresh_from_landing(spark, table, folder, landing, r, buckets=4)
+    return comparable(saved.read_saved(spark, table))
+
+
+@query
+def tag_answers(spark, r):
+    """Every answer, those that could not be read with the reason."""
+    answers = landed.tag_answers(payloads.tag_payloads(r, broken=True))
+    return comparable(answers.select("identifier", "status_code", "tags", "reason"))
+
+
+@query
+def rejected_answers(spark, r):
+    """What a run of the landing job has set aside."""
+    table, folder = table_name("tags"), scratch_folder(spark, "tags")
+    landing = scratch_folder(spark, "landing")
+    land(r, "scanned_observations", FIRST_RUN, landing, broken=True)
+    landing_job.refresh_from_landing(spark, table, folder, landing, r)
+    found = landing_job.rejected_answers(spark, folder)
+    return comparable(found.select("identifier", "reason", "landed_at"))
+
+
+@query
+def merge_tags_colocated(spark, r):
+    """A bucketed tag table merged twice; its versions keep the buckets."""
+    table, folder = table_name("tags"), scratch_folder(spark, "tags")
+    sinks.publish_version(payloads.stored_tags(r), table, folder, ("identifier", 4))
+    for _ in range(2):
+        tagging.merge_into_table(spark, table, folder, payloads.scanned_tags(r))
+    return comparable(saved.read_saved(spark, table))
+
+
 @query
 def sink_publish_version(spark, r):
     """Two versions of the tag table; the second is a merge into the first."""
@@ -398,6 +509,26 @@ def principal_report(spark, r):
     return reports.principal_report(entitlements.principal_access(*identities(r)))
 
 
+def teams(r: Relations) -> tuple[DataFrame, DataFrame]:
+    users, groups = payloads.team_payloads(r)
+    return landed.parse_users(users), landed.parse_groups(groups)
+
+
+@query
+def nested_groups(spark, r):
+    return membership.containing_groups(teams(r)[1])
+
+
+@query
+def inherited_entitlements_nested(spark, r):
+    return comparable(entitlements.inherited_entitlements(*teams(r), nested=True))
+
+
+@query
+def principal_access_nested(spark, r):
+    return entitlements.principal_access(*teams(r), nested=True)
+
+
 @query
 def sink_overwrite(spark, r):
     """The access table written twice: the second write replaces the first."""

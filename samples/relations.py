@@ -145,6 +145,21 @@ FROM {orders}""",
     "group_members": """
 SELECT DISTINCT o_orderpriority AS displayname, c_mktsegment AS display
 FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    # Teams within teams: a tree of suppliers, closed to a cycle at its top; some members are no teams.
+    "teams": """
+SELECT s_name AS displayname FROM {supplier}""",
+    "team_members": """
+SELECT o.s_name AS displayname, i.s_name AS display
+FROM {supplier} i JOIN {supplier} o
+  ON o.s_suppkey = CAST(floor(i.s_suppkey / 2) AS BIGINT) + CASE WHEN i.s_suppkey = 1 THEN 4 ELSE 0 END
+UNION ALL
+SELECT s_name, n_name FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
+    "team_entitlements": """
+SELECT s_name AS displayname, 'on-' || lower(n_name) AS value
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
+    "team_users": """
+SELECT CAST(c_custkey AS VARCHAR(20)) AS id, s_name AS display
+FROM {customer} JOIN {supplier} ON s_suppkey = CAST(floor(c_custkey / 15) AS BIGINT)""",
     "people": """
 SELECT c_name AS name,
   lpad(CAST(c_custkey % 1000 AS VARCHAR(20)), 3, '0') || '-'
@@ -245,6 +260,8 @@ def with_relations(query: str) -> str:
     body = query.format_map(every).strip()
     if not ctes:
         return body
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[len("WITH RECURSIVE ") :]
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body

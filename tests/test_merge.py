@@ -157,5 +157,30 @@ def test_a_small_source_leaves_the_target_unshuffled(spark, tmp_path):
     text = final_plan(merged)
     assert "SortMergeJoin" not in text
     assert merged.count() == 10_001
-    # What is shuffled: the source for its grouping and its keys, and the matched keys.
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 3
+    # What is shuffled: the source for its grouping and by its keys (with all columns and without), and
+    # the matched keys.
+    shuffled = re.findall(r"(?<!, )Exchange hashpartitioning\((\w+)", text)
+    assert sorted(shuffled) == ["__source_k", "__source_k", "__target_k", "_groupingexpression"]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+@pytest.mark.parametrize("colocated", [False, True])
+def test_the_source_is_read_once(spark, settings, tmp_path, threshold, colocated):
+    settings(spark__sql__autoBroadcastJoinThreshold=threshold)
+    target, source = str(tmp_path / "target"), str(tmp_path / "source")
+    frame(spark, [(str(k), "old", k) for k in range(100)]).write.parquet(target)
+    data = [(str(k), "new", 999) for k in range(95, 105)] + [(None, "new", 1), ("104", "new", 999)]
+    frame(spark, data).write.parquet(source)
+    merged = merge_upsert(
+        spark.read.parquet(target), spark.read.parquet(source), {"k": "k"}, {"v": "v"}, NEWER, colocated
+    )
+    text = final_plan(merged)
+    # The target whole, its keys, and the source.
+    assert len(re.findall("FileScan parquet", text)) == 3
+    assert merged.count() == 107 and merged.where("v = 'new'").count() == 12
+
+
+def test_many_copies_of_a_new_row(spark):
+    source = spark.range(10_000).selectExpr("'n' AS k", "'new' AS v", "1 AS ts")
+    merged = upsert(frame(spark, [("a", "old", 1)]), source)
+    assert merged.count() == 10_001 and merged.distinct().count() == 2

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardline.operators.membership import containing_groups
 
-def _passed_on(users: DataFrame, groups: DataFrame) -> DataFrame:
+
+def _passed_on(users: DataFrame, groups: DataFrame, nested: bool = False) -> DataFrame:
     """``(__groups, inherited)`` of every list of groups that passes on anything.
 
     What is inherited depends on the list alone, so each distinct list is worked out once.
@@ -16,6 +18,12 @@ def _passed_on(users: DataFrame, groups: DataFrame) -> DataFrame:
     lists = users.select(F.col("groups").alias("__groups")).distinct()
     memberships = lists.select("__groups", F.explode(F.array_distinct("__groups")).alias("__group"))
     passed_on = groups.select("displayName", F.explode("entitlements").alias("value")).distinct()
+    if nested:
+        above = containing_groups(groups)
+        through = above.join(passed_on, F.col("above") == F.col("displayName")).select(
+            F.col("group").alias("displayName"), "value"
+        )
+        passed_on = passed_on.unionByName(through).distinct()
     inherited = memberships.join(
         passed_on, memberships["__group"].eqNullSafe(passed_on["displayName"]), "inner"
     )
@@ -27,21 +35,24 @@ def _passed_on(users: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def inherited_entitlements(users: DataFrame, groups: DataFrame) -> DataFrame:
+def inherited_entitlements(
+    users: DataFrame, groups: DataFrame, nested: bool = False
+) -> DataFrame:
     """``(userId, inherited_entitlements)`` of every user record that inherits any.
 
-    Records are taken one by one: an id that is absent or repeated changes nothing.
+    Records are taken one by one: an id that is absent or repeated changes nothing. With ``nested``,
+    a group also passes on what the groups have that it is a member of, through any number of groups.
     """
-    known = _passed_on(users, groups)
+    known = _passed_on(users, groups, nested)
     return users.join(known, users["groups"].eqNullSafe(known["__groups"]), "inner").select(
         "userId", F.col("inherited").alias("inherited_entitlements")
     )
 
 
-def final_entitlements(users: DataFrame, groups: DataFrame) -> DataFrame:
+def final_entitlements(users: DataFrame, groups: DataFrame, nested: bool = False) -> DataFrame:
     """Users with ``inherited_entitlements`` and the union with their own, both never NULL."""
     nothing = F.array().cast("array<string>")
-    known = _passed_on(users, groups)
+    known = _passed_on(users, groups, nested)
     joined = users.join(known, users["groups"].eqNullSafe(known["__groups"]), "left")
     inherited = F.coalesce("inherited", nothing)
     return joined.select(
@@ -52,14 +63,14 @@ def final_entitlements(users: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def principal_access(
-    users: DataFrame, groups: DataFrame, keep_uninherited: bool = False
+    users: DataFrame, groups: DataFrame, keep_uninherited: bool = False, nested: bool = False
 ) -> DataFrame:
     """Distinct ``(userName, Groups, entitlements)`` rows.
 
     A user without groups or without entitlements has no row. Neither has one who inherits
     nothing, unless ``keep_uninherited`` is set.
     """
-    known = final_entitlements(users, groups)
+    known = final_entitlements(users, groups, nested)
     if not keep_uninherited:
         known = known.filter(F.size("inherited_entitlements") > 0)
     return (

@@ -19,8 +19,8 @@ from wardline.constants import (
 from wardline.functions.names import identifier, quoted_identifier
 from wardline.functions.routine_rules import function_validity, secret_validity
 from wardline.operators.merge import merge_update
-from wardline.sinks.tables import append_audit, publish_version
-from wardline.sources.tables import read_saved, routines_with_definition
+from wardline.sinks.tables import append_audit, exists, publish_version, write_partitions
+from wardline.sources.tables import read_saved, routines_with_definition, typed
 
 
 def routine_audit(
@@ -84,14 +84,51 @@ def mark_removed(audit: DataFrame, plan: DataFrame) -> DataFrame:
 def record_audit(
     routines: DataFrame, target: str, as_of: Column | None = None
 ) -> None:
-    """One run of the audit, added to the stored history."""
-    append_audit(routine_audit(routines, as_of), target)
+    """One run of the audit, stored as a partition of the history; recording it again replaces it.
+
+    A history that was not stored by run is appended to.
+    """
+    found = typed(routine_audit(routines, as_of), schemas.ROUTINE_AUDIT)
+    spark = routines.sparkSession
+    if exists(spark, target) and schemas.RUN not in read_saved(spark, target).columns:
+        append_audit(found, target)
+    else:
+        write_partitions(found.withColumn(schemas.RUN, _run()), target, schemas.RUN)
+
+
+def _run() -> Column:
+    return F.unix_micros(F.col("markedAt").cast("timestamp"))
+
+
+def read_history(spark: SparkSession, source: str) -> DataFrame:
+    """All runs of a stored history, in the columns of an audit."""
+    return read_saved(spark, source).select(*schemas.ROUTINE_AUDIT.names)
+
+
+def mark_removed_in_runs(spark: SparkSession, target: str, plan: DataFrame) -> list[int]:
+    """Mark the rows that a stored ``plan`` names in a history stored by run; returns the runs.
+
+    Only the runs that the plan names are read and written; the files of all others are not touched.
+    There is one run, and one number here, for each time the audit was recorded. Marking again
+    changes nothing.
+    """
+    runs = sorted(r[0] for r in plan.select(_run()).distinct().collect() if r[0] is not None)
+    if not runs:
+        return runs
+    named = read_saved(spark, target).where(F.col(schemas.RUN).isin(runs))
+    write_partitions(mark_removed(named, plan), target, schemas.RUN)
+    return runs
 
 
 def mark_removed_in_table(spark: SparkSession, table: str, folder: str, plan: DataFrame) -> str:
-    """Mark the rows that ``plan`` names in a stored audit, as the table's next version.
+    """Mark the rows that ``plan`` names in a stored audit; returns where its rows are.
 
     ``plan`` is the stored :func:`removal_plan` whose statements have been carried out. Rows that
-    were added after it was made are not marked.
+    were added after it was made are not marked. A history stored by run is marked run by run; any
+    other one is written anew, as the table's next version under ``folder``.
     """
-    return publish_version(mark_removed(read_saved(spark, table), plan), table, folder)
+    stored = read_saved(spark, table)
+    if schemas.RUN in stored.columns:
+        mark_removed_in_runs(spark, table, plan)
+        return table
+    return publish_version(mark_removed(stored, plan), table, folder)

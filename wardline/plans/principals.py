@@ -19,15 +19,17 @@ def refresh_access_table(
     user_payloads: DataFrame,
     group_payloads: DataFrame,
     keep_uninherited: bool = False,
+    nested: bool = False,
 ) -> str:
     """Replace the contents of the access table.
 
     The parsed users are written under ``folder`` first. Memberships and users are then both
-    read from there, each with its own columns, and the records are parsed once.
+    read from there, each with its own columns, and the records are parsed once. ``nested`` also
+    follows groups that are members of groups.
     """
     parsed = parse_users(user_payloads)
     landed = f"{folder.rstrip('/')}/users-{uuid.uuid4().hex}"
     save(parsed, landed, "errorifexists")
     users = read_saved(spark, landed, parsed.schema)
-    access = principal_access(users, parse_groups(group_payloads), keep_uninherited)
+    access = principal_access(users, parse_groups(group_payloads), keep_uninherited, nested)
     return publish_version(access, table, folder)

@@ -15,7 +15,7 @@ from wardline.operators.securables import (
     enumerate_securables,
     one_table_per_catalog,
 )
-from wardline.sinks.tables import publish_version, save
+from wardline.sinks.tables import bucketing, publish_version, save
 from wardline.sources.payloads import parse_tag_payloads
 from wardline.sources.tables import read_saved, typed
 
@@ -57,18 +57,21 @@ def _not_older(target, source) -> Column:
     return source("lastCheckedAt") >= target("lastCheckedAt")
 
 
-def merge_tags(stored: DataFrame, collected: DataFrame, refresh_time: bool = False) -> DataFrame:
+def merge_tags(
+    stored: DataFrame, collected: DataFrame, refresh_time: bool = False, colocated: bool = False
+) -> DataFrame:
     """New contents of the tag table.
 
     A known securable gets the collected tags unless they are older than the stored ones; its
     stored time stays as it was first written unless ``refresh_time`` is set. A new securable
-    is added as collected.
+    is added as collected. ``colocated`` leaves the stored side where it is, if it is bucketed by
+    ``identifier``.
     """
     set_columns = {"tags": "tags"}
     if refresh_time:
         set_columns["lastCheckedAt"] = "lastCheckedAt"
     return merge_upsert(
-        stored, collected.select(*schemas.TAGS.names), MERGE_KEYS, set_columns, _not_older
+        stored, collected.select(*schemas.TAGS.names), MERGE_KEYS, set_columns, _not_older, colocated
     )
 
 
@@ -85,18 +88,38 @@ def refresh_tag_table(
     metadata: Mapping[str, DataFrame],
     as_of: Column | None = None,
     refresh_time: bool = False,
+    buckets: int = 0,
 ) -> str:
     """One run of the tag job: collect, merge, and publish the tag table's next version.
 
-    The collected tags are written under ``folder`` first: the merge reads them twice, and all
-    its parts must see the same run time. The first run creates the table.
+    The collected tags are written under ``folder`` first: all parts of the merge must see the same run
+    time. The first run creates the table, in ``buckets`` buckets by ``identifier`` if there is a number;
+    the stored side of every later merge is then not shuffled, and each version keeps the buckets.
     """
     landed = f"{folder.rstrip('/')}/collected-{uuid.uuid4().hex}"
     found = collect_tags(payloads, enumerate_securables(metadata), as_of)
     save(typed(found, schemas.TAGS), landed, "errorifexists")
     collected = read_saved(spark, landed, schemas.TAGS)
+    return merge_into_table(spark, table, folder, collected, refresh_time, buckets)
+
+
+def merge_into_table(
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    collected: DataFrame,
+    refresh_time: bool = False,
+    buckets: int = 0,
+    label: str = "",
+) -> str:
+    """Publish the tag table's next version, with the collected tags merged into it."""
+    key = MERGE_KEYS["identifier"]
+    colocated = False
     if spark.catalog.tableExists(table):
         stored = read_saved(spark, table)
+        known = bucketing(spark, table)
+        colocated = known is not None and known[0] == key
     else:
         stored = spark.createDataFrame([], schemas.TAGS)
-    return publish_version(merge_tags(stored, collected, refresh_time), table, folder)
+    merged = merge_tags(stored, collected, refresh_time, colocated)
+    return publish_version(merged, table, folder, (key, buckets) if buckets else None, label)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    IntegerType,
     StringType,
     StructField,
     StructType,
@@ -52,6 +53,15 @@ TAGS = StructType(
     ]
 )
 
+LANDED_ANSWER = StructType(
+    [
+        StructField("identifier", StringType()),
+        StructField("status_code", IntegerType()),
+        StructField("payload", StringType()),
+        StructField("landed_at", TimestampType()),
+    ]
+)
+
 PRIVILEGE_LOOKUP = strings("type", "privilegeType", "privilegeInheritance")
 
 AUDITED_ROUTINE = (
@@ -71,6 +81,9 @@ ROUTINE_AUDIT = StructType(
     ]
 )
 
+# The partition of a stored audit: a run's time in microseconds, so that no time zone is in its name.
+RUN = "run"
+
 PRINCIPAL_ACCESS = strings("userName", "Groups", "entitlements")
 
 KEYS = strings("scope", "key", "secret")

@@ -40,6 +40,36 @@ def parse_tag_payloads(payloads: DataFrame, mode: str = "FAILFAST") -> DataFrame
     )
 
 
+def tag_answers(answers: DataFrame) -> DataFrame:
+    """Every answer with its ``tags``, or with the ``reason`` why it could not be read.
+
+    All columns are kept but ``payload`` of an answer that was read. ``reason`` is NULL for those; else
+    ``status`` with the code, ``no answer`` or ``malformed``. A securable without tags has been read and
+    has none: both are NULL. Each payload is parsed once.
+    """
+    read = F.col("status_code").eqNullSafe(200)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__corrupt"}
+    # NULL in, NULL out: an answer that failed is not parsed.
+    parsed = F.from_json(
+        F.when(read, F.col("payload")), f"{schemas.TAG_PAYLOAD}, __corrupt STRING", options
+    )
+    reason = (
+        F.when(~read, F.concat(F.lit("status "), F.coalesce(F.col("status_code").cast("string"), F.lit("unknown"))))
+        .when(F.coalesce(F.trim("payload"), F.lit("")) == "", F.lit("no answer"))
+        .when(F.col("__corrupt").isNotNull(), F.lit("malformed"))
+    )
+    whole = F.coalesce(parsed, F.from_json(F.lit("{}"), f"{schemas.TAG_PAYLOAD}, __corrupt STRING"))
+    first = F.try_element_at("tag_assignments", F.lit(1))["tags"]
+    found = answers.select("*", F.inline(F.array(whole))).withColumn("reason", reason)
+    kept = [name for name in answers.columns if name != "payload"]
+    return found.select(
+        *kept,
+        F.when(F.col("reason").isNull(), first).alias("tags"),
+        "reason",
+        F.when(F.col("reason").isNotNull(), F.col("payload")).alias("payload"),
+    )
+
+
 def listed_resources(
     pages: DataFrame, mode: str = "FAILFAST", key: str = "Resources"
 ) -> DataFrame:
