@@ -23,6 +23,7 @@ from wardline.llm import (
     substring_dedup,
     toxicity,
 )
+from wardline.llm.common import sieve, without
 from wardline.llm.components import components
 from wardline.llm.queries import ORACLE, QUERIES
 
@@ -313,5 +314,54 @@ def test_pipeline_stages(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("least", [0, 32_767, 32_768, 65_535, 65_536])
+def test_cells_of_any_number_of_blocks(spark, least):
+    """A cell of one block is told from a cell of two, and no two cells are one."""
+    cell = cells_of(spark, least)
+    own = np.array([c for low, high, c in cell if low == high])
+    other = np.array([c for low, high, c in cell if low != high])
+    assert not embedding_dedup.crosses(own).any() and embedding_dedup.crosses(other).all()
+    assert len({c for *_, c in cell}) == len({(low, high) for low, high, _ in cell})
+
+
+def cells_of(spark, least):
+    blocks = [least, least + 1, least + 65_536]
+    pairs = spark.createDataFrame([(a, b) for a in blocks for b in blocks if a <= b], "low int, high int")
+    both = pairs.withColumn("cell", embedding_dedup.cell_of("high", "low"))
+    assert both.where(F.col("cell") != embedding_dedup.cell_of("low", "high")).isEmpty()
+    return [tuple(r) for r in both.collect()]
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_few_vectors_have_the_same_links_with_codes_and_without(spark, few):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 32))
+    x = np.concatenate([x, x[:150] + 0.2 * rng.normal(size=(150, 32)), x[:20]])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, few=few).collect()}
+    links = (x @ x.T >= 0.95).sum(axis=1) - 1
+    assert links.sum() > 100 and [found[k] for k in range(len(x))] == links.tolist()
+
+
+def test_a_sieve_lets_all_of_its_values_through(spark):
+    ids = spark.range(0, 5_000, 5).toDF("x").unionByName(spark.sql("SELECT CAST(NULL AS LONG) AS x"))
+    some = spark.range(5_000).toDF("id").unionByName(spark.sql("SELECT CAST(NULL AS LONG) AS id"))
+    for bits, most in ((1 << 25, 1_010), (1 << 12, 5_001)):
+        passed = some.where(sieve(ids, bits)(F.col("id")))
+        assert passed.join(ids, F.col("id").eqNullSafe(F.col("x"))).count() == 1_001
+        assert passed.count() <= most
+
+
+def test_rows_without_dropped_ids(spark, odd):
+    names = odd.selectExpr("*", "1 AS dropped", "2 AS suspected", "3 AS row", "4 AS kept_id")
+    dropped = spark.createDataFrame([(2,), (None,), (77,)], "doc_id long")
+    kept = without(names, dropped)
+    assert kept.columns == names.columns
+    expected = sorted((tuple(r) for r in names.collect() if r.doc_id not in (2, None)), key=repr)
+    assert sorted((tuple(r) for r in kept.collect()), key=repr) == expected
+    assert without(names, dropped.where("false")).count() == names.count()

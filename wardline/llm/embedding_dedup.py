@@ -29,7 +29,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.common import stored
@@ -43,6 +43,8 @@ SUBSTRING = 16
 SAMPLE = 4_000
 BLOCK = 1_024
 SMALL = 48
+# So few vectors of a length are compared without codes: there is nothing to learn from them.
+FEW = 64
 
 
 def learn(sample: np.ndarray, rotations: int = ROTATIONS, rounds: int = 40) -> list[tuple]:
@@ -233,7 +235,7 @@ def _meet(words: int, limit: int):
         probe = np.array(table.column("probe"))
         block = np.array(table.column("block"))
         cell = np.array(table.column("cell"))
-        cross = cell >> 16 != cell & 0xFFFF
+        cross = crosses(cell)
         code = np.stack([np.array(table.column(f"w{i}")).view(np.uint64) for i in range(words)], axis=1)
         starts = _starts(table, ["place", "cell"])
         sizes = np.diff(np.append(starts, len(table)))
@@ -283,7 +285,7 @@ def _rerank(least: float):
                 x = np.array([np.frombuffer(units[k], float) for k in at])
                 close = x @ x.T >= least
                 np.fill_diagonal(close, False)
-                if cell[low] >> 16 != cell[low] & 0xFFFF:
+                if crosses(cell[low]):
                     close &= block[at][:, None] != block[at][None, :]
                 label = _forest(close)
                 yield pa.RecordBatch.from_arrays(
@@ -298,6 +300,17 @@ def _rerank(least: float):
     return work
 
 
+def cell_of(block: str, other: str) -> Column:
+    """The cell of two blocks, in either order."""
+    low, high = (pick(block, other).cast("long") for pick in (F.least, F.greatest))
+    return F.shiftleft(low, 32).bitwiseOR(high)
+
+
+def crosses(cell: np.ndarray) -> np.ndarray:
+    """Whether a cell is of two blocks; their numbers are its upper and lower 32 bits."""
+    return cell >> 32 != cell & 0xFFFFFFFF
+
+
 def in_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """Deal rows of each ``place`` into cells: pairs of blocks of about ``block`` rows.
 
@@ -314,23 +327,24 @@ def in_blocks(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("key"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     dealt = dealt.select("*", other)
-    cell = F.shiftleft(F.least("block", "other"), 16).bitwiseOR(F.greatest("block", "other"))
-    return dealt.withColumn("cell", cell).drop("large", "blocks", "other")
+    return dealt.withColumn("cell", cell_of("block", "other")).drop("large", "blocks", "other")
 
 
 def sorted_cells(rows: DataFrame) -> DataFrame:
     return rows.repartition("place", "cell").sortWithinPartitions("place", "cell")
 
 
-def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
+def near_duplicates(
+    vectors: DataFrame, least: float = LEAST_COSINE, few: int = FEW
+) -> DataFrame:
     """One row per row of ``vec_id, embedding``: ``vec_id, n_links, component_id, kept``.
 
     A vector that is null, empty or zero or holds a null or non-finite component links with
     nothing and is its own component; so do vectors of different lengths. Equal vectors link.
     ``n_links`` counts rows, so a repeated row is a link. A null id is never the smallest of a
     component that has another; a component of null ids alone is null, and its rows are kept.
-    Each length has its own codes; a length of no more than a block of vectors needs none. Other
-    columns are not read; no rows give no rows.
+    Each length has its own codes; the vectors of a length that at most ``few`` have are all compared.
+    Other columns are not read; no rows give no rows.
     """
     id_type = vectors.schema["vec_id"].dataType.simpleString()
     rows = stored(
@@ -345,7 +359,7 @@ def near_duplicates(vectors: DataFrame, least: float = LEAST_COSINE) -> DataFram
     groups = stored(groups, "vectors")
     size = F.octet_length("unit")
     counted = {r[0]: r[1] for r in groups.groupBy(size).count().collect()}
-    many = sorted(k for k, n in counted.items() if n > BLOCK)
+    many = sorted(k for k, n in counted.items() if n > few)
     linked = []
     if len(many) < len(counted):
         few = groups.where(~size.isin(many)).select(size.cast("string").alias("place"), "key", "n", "unit")

@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.common import stored
+from wardline.llm.common import sieve, stored
 from wardline.llm.components import components
-from wardline.llm.embedding_dedup import _by_group, _starts, in_blocks, sorted_cells
+from wardline.llm.embedding_dedup import _by_group, _starts, crosses, in_blocks, sorted_cells
 from wardline.llm.words import LOWER, MULTIPLIERS, WHITE, Piece, Ranges, U, mix, pieces, windows
 
 SHINGLE = 5
@@ -178,7 +178,7 @@ def _across(percent: int):
         size = np.array(table.column("n_shingles")).astype(float)
         held = _vectors(table.column("registers"))
         for low, high in zip(starts[:-1], starts[1:], strict=True):
-            cross = cell[low] >> 16 != cell[low] & 0xFFFF
+            cross = crosses(cell[low])
             label = part[low:high].copy()
             for i in range(high - low - 1):
                 j = np.arange(i + 1, high - low)
@@ -237,7 +237,7 @@ def _verified(length: int, percent: int):
             sizes = np.array([len(x) for x in sets])
             ends = np.cumsum(sizes)
             codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-            cross = cell[low] >> 16 != cell[low] & 0xFFFF
+            cross = crosses(cell[low])
             seen = np.zeros(int(codes.max()) + 1, np.uint8)
             label = np.arange(high - low)
             found: list[tuple[int, int]] = []
@@ -338,8 +338,10 @@ def near_duplicates(docs: DataFrame, length: int = SHINGLE, percent: int = PERCE
         ),
         "wanted",
     )
+    # Texts that are in no candidate group are not shuffled.
     bodies = stored(
-        docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("first")))
+        docs.where(sieve(wanted.select("first"))(F.col("doc_id")))
+        .join(wanted, docs["doc_id"].eqNullSafe(F.col("first")))
         .select("key", "text")
         .mapInArrow(_texts, "key binary, text string")
         .dropDuplicates(["key"])

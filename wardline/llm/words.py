@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
