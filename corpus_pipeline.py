@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from wardline.llm import byte_bpe, minhash_dedup, mixing, quality, substring_dedup
-from wardline.llm.common import read, stored
-
-
+from wardline.llm.common import read, small_batches, stored, without
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents whose posterior probability of being good is at least one half."""
+    small_batches(spark)
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     kept = quality.classify(docs, model).where("quality_score >= 0.5")
     return kept.select(*docs.columns)
@@ -19,23 +17,26 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group that shares 80 % of its runs of five words."""
-    found = minhash_dedup.near_duplicates(docs, length=5, percent=80).where("kept")
-    found = stored(found.select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+    small_batches(spark)
+    found = minhash_dedup.near_duplicates(docs, length=5, percent=80).where("NOT kept")
+    return without(docs, stored(found.select("doc_id").distinct(), "dropped"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that stand earlier; one that loses nothing is unchanged."""
+    small_batches(spark)
     return substring_dedup.without_repeats(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of the sources takes them."""
+    small_batches(spark)
     return mixing.repeated(mixing.mix_sources(docs), docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of each document and what they decode to, as digests."""
+    small_batches(spark)
     return byte_bpe.digests(docs)
 
 
