@@ -365,3 +365,9 @@ def test_rows_without_dropped_ids(spark, odd):
     expected = sorted((tuple(r) for r in names.collect() if r.doc_id not in (2, None)), key=repr)
     assert sorted((tuple(r) for r in kept.collect()), key=repr) == expected
     assert without(names, dropped.where("false")).count() == names.count()
+
+
+def test_fingerprints_have_no_python_worker(spark):
+    plan = fingerprints.op3_fingerprints(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("BatchEvalPython", "ArrowEvalPython", "MapInArrow", "MapInPandas", "InArrow", "InPandas"):
+        assert operator not in plan
