@@ -228,6 +228,19 @@ _REASON = """CASE right(identifier, 1) WHEN '7' THEN 'status 500' WHEN '9' THEN
   WHEN '5' THEN 'malformed' END"""
 
 
+# Names and phrases of a table, as whole words.
+_CALLS = (
+    r"""SELECT name, routine_catalog, routine_schema, routine_name FROM {routines} JOIN {banned_names}
+  ON routine_definition IS NOT NULL AND contains(routine_definition, name)
+    AND regexp_matches(routine_definition, '(^|NO_WORD)' || regexp_escape(name) || '($|NO_WORD)')"""
+).replace("NO_WORD", _NO_WORD.replace("{", "{{").replace("}", "}}"))
+
+_DOTTED = """SELECT '`' || catalog_name || '.' || schema_name || '`.x' AS identifier,
+  catalog_name || '.' || schema_name AS part1, 'x' AS part2 FROM {schemata}
+UNION ALL SELECT catalog_name || '.`' || schema_name || '.x`', catalog_name, schema_name || '.x'
+FROM {schemata}"""
+
+
 def _cipher_length(column: str) -> str:
     # Twelve bytes of nonce and sixteen of tag, then four characters for every three bytes.
     return f"CAST(4 * ceil((28 + strlen({column})) / 3.0) AS INTEGER)"
@@ -257,6 +270,22 @@ LEFT JOIN ({_listed("SELECT * FROM {group_entitlements}", "displayname", "value"
   ON n.displayname = e.displayname""",
     "function_validity": f"SELECT {_ROUTINE} AS identifier, isFunctionValid FROM ({_VERDICTS})",
     "secret_validity": f"SELECT {_ROUTINE} AS identifier, isSecretValid FROM ({_VERDICTS})",
+    "function_validity_by_table": f"""SELECT {_ROUTINE} AS identifier,
+  CASE WHEN (routine_catalog, routine_schema, routine_name) IN
+      (SELECT (routine_catalog, routine_schema, routine_name) FROM ({_CALLS}))
+    THEN 'invalidFunction' ELSE 'validFunction' END AS isFunctionValid
+FROM {{routines}} WHERE routine_definition IS NOT NULL""",
+    "secret_validity_by_table": f"""SELECT {_ROUTINE} AS identifier,
+  CASE WHEN ({_group(2, 3)}, {_group(5, 6)}) IN (SELECT (scope, key) FROM {{allowed_keys}})
+    THEN 'validSecret' ELSE 'invalidSecret' END AS isSecretValid
+FROM {{routines}} WHERE routine_definition IS NOT NULL""",
+    "banned_calls": f"SELECT name, count(*) AS n_routines FROM ({_CALLS}) GROUP BY name",
+    "dotted_names": f"SELECT *, 'Schema' AS type, '' AS part3 FROM ({_DOTTED})",
+    "all_assets_dotted": f"""SELECT * FROM ({_ALL_ASSETS}) WHERE type <> 'Schema'
+UNION SELECT '`' || identifier || '`.x', type, principal, privilegeType
+FROM ({_ALL_ASSETS}) WHERE type = 'Schema'
+UNION SELECT replace(identifier, '.', '.`') || '.x`', type, principal, privilegeType
+FROM ({_ALL_ASSETS}) WHERE type = 'Schema'""",
     "classify_securable": f"""SELECT identifier, {_TYPE} AS type,
   split_part(identifier, '.', 1) AS part1, split_part(identifier, '.', 2) AS part2,
   split_part(identifier, '.', 3) AS part3 FROM {{securables}}""",
@@ -341,6 +370,12 @@ FROM {people}""",
     "cipher_functions": f"""SELECT name, ssn, {_cipher_length("zipcode")} AS zipcode_length
 FROM {{people}}""",
     "cipher_functions_replaced": "SELECT name, ssn, zipcode FROM {people}",
+    "decrypt_key_versions": "SELECT name, ssn, zipcode FROM {people}",
+    "rotate_key": """SELECT name, ssn, zipcode, CAST(5 AS BIGINT) AS ssn_version,
+  CAST(5 AS BIGINT) AS zipcode_version FROM {people}""",
+    "decrypt_moved_version": "SELECT name, CAST(NULL AS VARCHAR) AS ssn, zipcode FROM {people}",
+    "cipher_functions_versions": """SELECT name, ssn, zipcode,
+  CAST(3 + 4 * ceil((28 + strlen(zipcode)) / 3.0) AS INTEGER) AS zipcode_length FROM {people}""",
 }
 
 

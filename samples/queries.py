@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from samples import payloads
 from samples.relations import Relations
 from wardline.constants import ALL_PRIVILEGES, CATALOG, INHERITED_PRIVILEGES, SCHEMA, TABLE
-from wardline.functions import cipher, names, routine_rules
+from wardline.functions import cipher, key_versions, names, routine_rules
 from wardline import schemas
-from wardline.operators import entitlements, grants, membership, securables
+from wardline.operators import entitlements, grants, membership, rule_tables, securables
 from wardline.plans import landing as landing_job
 from wardline.plans import audit, principals, protection, reports, tagging
 from wardline.session import scratch_folder
@@ -113,6 +113,63 @@ def secret_validity(spark, r):
     )
 
 
+@query
+def function_validity_by_table(spark, r):
+    """Names and phrases that a table bans."""
+    routines = saved.routines_with_definition(r["routines"])
+    return rule_tables.with_function_validity(routines, r["banned_names"]).select(
+        names.identifier("routine_catalog", "routine_schema", "routine_name").alias("identifier"),
+        "isFunctionValid",
+    )
+
+
+@query
+def secret_validity_by_table(spark, r):
+    """Keys that a table allows."""
+    routines = saved.routines_with_definition(r["routines"])
+    return rule_tables.with_secret_validity(routines, r["allowed_keys"]).select(
+        names.identifier("routine_catalog", "routine_schema", "routine_name").alias("identifier"),
+        "isSecretValid",
+    )
+
+
+@query
+def banned_calls(spark, r):
+    """How many routines each banned name is in."""
+    routines = saved.routines_with_definition(r["routines"])
+    calls = rule_tables.banned_calls(routines, r["banned_names"])
+    texts = routines.select(F.sha2("routine_definition", 256).alias("definition_key"))
+    copies = texts.groupBy("definition_key").agg(F.count(F.lit(1)).alias("n"))
+    return calls.join(copies, "definition_key").groupBy("name").agg(F.sum("n").alias("n_routines"))
+
+
+@query
+def dotted_names(spark, r):
+    """Names that only backticks tell apart, and their parts."""
+    plain = r["schemata"].select("catalog_name", "schema_name")
+    catalogs = plain.select(F.concat_ws(".", "catalog_name", "schema_name").alias("a"), F.lit("x").alias("b"))
+    schemata = plain.select(F.col("catalog_name").alias("a"), F.concat("schema_name", F.lit(".x")).alias("b"))
+    named = catalogs.unionByName(schemata).select(names.identifier("a", "b").alias("identifier"))
+    return securables.classify_securables(named).withColumns(
+        {f"part{n}": names.name_part("identifier", n) for n in (1, 2, 3)}
+    )
+
+
+@query
+def all_assets_dotted(spark, r):
+    """Assets of schemata whose catalogs, or which themselves, have a dot in their name."""
+
+    def twins(df: DataFrame, catalog: str, schema: str) -> DataFrame:
+        moved = {catalog: F.concat_ws(".", catalog, schema), schema: F.lit("x")}
+        kept = {schema: F.concat(schema, F.lit(".x"))}
+        return df.withColumns(moved).unionByName(df.withColumns(kept))
+
+    metadata = {name: r[name] for name in schemas.METADATA}
+    for name in ("schemata", "schema_privileges"):
+        metadata[name] = twins(metadata[name], *schemas.SCHEMA_KEY)
+    return grants.all_assets(metadata)
+
+
 @query
 def classify_securable(spark, r):
     return securables.classify_securables(r["securables"]).withColumns(
@@ -616,3 +673,63 @@ def cipher_functions_replaced(spark, r):
         "SELECT name, wardline_show(ssn) AS ssn, wardline_show(zipcode) AS zipcode FROM {hidden}",
         hidden=hidden,
     )
+
+
+def shown_versions(r: Relations, most: int) -> DataFrame:
+    """The keys as they were when the newest version was ``most``."""
+    return r["cipher_key_versions"].where(F.col("version") <= most)
+
+
+def two_batches(spark: SparkSession, r: Relations) -> str:
+    """People in two batches of one table; the key was replaced between them."""
+    target = scratch_folder(spark, "people")
+    late = F.pmod(F.xxhash64("name"), F.lit(2)).cast("int")
+    for batch in (0, 1):
+        own = r["people"].where(late == batch)
+        keys = shown_versions(r, batch + 1)
+        protection.publish_batch(own, PROTECTED, keys, *KEY, target, batch)
+    return target
+
+
+@query
+def decrypt_key_versions(spark, r):
+    """Rows of two versions of a key, decrypted in one reading."""
+    target, keys = two_batches(spark, r), shown_versions(r, 2)
+    return protection.read_batches(spark, target, PROTECTED, keys, *KEY)
+
+
+@query
+def rotate_key(spark, r):
+    """The same table after its key was replaced again; nothing is left for a second run."""
+    target, keys = two_batches(spark, r), r["cipher_key_versions"]
+    for _ in range(2):
+        protection.rotate_key(spark, target, PROTECTED, keys, *KEY)
+    used = {f"{c}_version": key_versions.version_of(c) for c in PROTECTED}
+    stored = saved.read_saved(spark, target).withColumns(used).drop(protection.BATCH)
+    newest = keys.where((F.col("version") == 5) | (F.col("scope") != KEY[0]))
+    return key_versions.decrypt_columns(stored, PROTECTED, newest, *KEY)
+
+
+@query
+def decrypt_moved_version(spark, r):
+    """A value whose version was changed by hand does not decrypt; the tolerant reader gets NULL."""
+    keys, moved = shown_versions(r, 2), F.regexp_replace("ssn", "^v2:", "v1:")
+    hidden = key_versions.encrypt_columns(r["people"], PROTECTED, keys, *KEY)
+    return key_versions.decrypt_columns(
+        hidden.withColumn("ssn", moved), PROTECTED, keys, *KEY, tolerant=True
+    )
+
+
+@query
+def cipher_functions_versions(spark, r):
+    """SQL functions over a key with versions read what an older version has encrypted."""
+    r["cipher_key_versions"].createOrReplaceTempView("wardline_key_versions")
+    key_versions.register_cipher_functions(
+        spark, "wardline_key_versions", *KEY, "wardline_seal", "wardline_open"
+    )
+    hidden = key_versions.encrypt_columns(r["people"], ["ssn"], shown_versions(r, 1), *KEY)
+    return spark.sql(
+        "SELECT name, wardline_open(ssn) AS ssn, wardline_open(wardline_seal(zipcode)) AS zipcode,"
+        " length(wardline_seal(zipcode)) AS zipcode_length FROM {hidden}",
+        hidden=hidden,
+    )

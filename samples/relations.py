@@ -172,6 +172,22 @@ FROM {customer}""",
 SELECT 'scope' || CAST(r_regionkey AS VARCHAR(20)) AS scope,
   'key' || CAST(r_regionkey AS VARCHAR(20)) AS key, md5(r_name) AS secret
 FROM {region}""",
+    "cipher_key_versions": """
+SELECT 'scope2' AS scope, 'key2' AS key, r_regionkey + 1 AS version, md5(r_name) AS secret
+FROM {region}
+UNION ALL
+SELECT 'scope1', 'key1', r_regionkey + 1, md5(upper(r_name) || r_name) FROM {region}""",
+    "banned_names": """
+SELECT DISTINCT lang AS name FROM {documents} WHERE lang IS NOT NULL
+UNION
+SELECT r_name || '.' || n_name FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
+UNION
+SELECT * FROM (VALUES ('hash'), ('mask'), ('md5'), ('sha'), ('sha1'), ('sha2'), ('crc32'),
+  ('aes_encrypt(mask_x'), ('-- was: md5'), ('mask(')) AS v(name)""",
+    "allowed_keys": """
+SELECT scope, key FROM {cipher_keys}
+UNION ALL
+SELECT 'encryptionkeys', 'ssn' FROM {documents} WHERE source = 'src0'""",
     # The rows of the lookup.
     "privilege_lookup": """
 SELECT * FROM (VALUES ('Catalog', 'ALL_PRIVILEGES', 'USE CATALOG'),

@@ -183,3 +183,30 @@ def test_functions_stored_in_the_catalog(spark, tmp_path):
     assert spark.sql("SELECT stored_dec(stored_enc('v')) AS v").collect()[0].v == "v"
     shown = spark.sql("SHOW USER FUNCTIONS").collect()
     assert any(row[0].endswith("stored_enc") for row in shown)
+
+
+NAMES = [
+    ("a.b", "c", "`a.b`.c"), ("a", "b.c", "a.`b.c`"), ("a", "b", "a.b"), ("a", "b`c", "a.b`c"),
+    ("`a", "b", "```a`.b"), ("`a`", "b.`", "```a```.`b.```"), (".", "..", "`.`.`..`"), ("a`.", "b", "`a``.`.b"),
+]
+
+
+def test_names_with_dots_keep_their_parts(spark):
+    df = spark.createDataFrame(NAMES, "a string, b string, expected string")
+    named = df.withColumn("n", names.identifier("a", "b"))
+    parts = named.select("a", "b", "expected", "n", *[names.name_part("n", i) for i in (1, 2, 3)], names.securable_type("n"))
+    for a, b, expected, n, one, two, three, kind in parts.collect():
+        assert (n, one, two, three, kind) == (expected, a, b, "", "Schema")
+    assert named.select("n").distinct().count() == len(NAMES)
+
+
+def test_backticks_that_quote_no_part(spark):
+    texts = {"`a.b": ("`a", "b"), "`a`b.c": ("`a`b", "c"), "``.c": ("``", "c"), "a`.b": ("a`", "b"), "`": ("`", "")}
+    df = spark.createDataFrame([(t,) for t in texts], "n string")
+    found = df.select("n", *[names.name_part("n", i) for i in (1, 2)])
+    assert {r[0]: (r[1], r[2]) for r in found.collect()} == texts
+
+
+def test_a_long_name_in_backticks(spark):
+    df = spark.range(1).select(F.concat(F.lit("`"), F.repeat(F.lit("x."), F.lit(20_000)), F.lit("`.c")).alias("n"))
+    assert df.select(names.name_part("n", 2)).first()[0] == "c"

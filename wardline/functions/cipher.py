@@ -81,7 +81,8 @@ def decrypt_columns(
     )
 
 
-def _text(value: str) -> str:
+def text_literal(value: str) -> str:
+    """A string as an SQL literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -105,8 +106,8 @@ def register_cipher_functions(
     stored = f"""(
         SELECT CASE WHEN count(*) = 1 AND octet_length(max(secret)) IN ({lengths})
                     THEN max(secret)
-                    ELSE raise_error({_text(f"no usable secret for {scope}/{key}")}) END
-        FROM {key_view} WHERE scope = {_text(scope)} AND key = {_text(key)})"""
+                    ELSE raise_error({text_literal(f"no usable secret for {scope}/{key}")}) END
+        FROM {key_view} WHERE scope = {text_literal(scope)} AND key = {text_literal(key)})"""
     for name, body in (
         (encrypt_name, f"replace(base64(aes_encrypt(value, {stored})), chr(13) || chr(10), '')"),
         (decrypt_name, f"cast(aes_decrypt(unbase64(value), {stored}) AS STRING)"),

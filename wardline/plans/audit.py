@@ -19,6 +19,7 @@ from wardline.constants import (
 from wardline.functions.names import identifier, quoted_identifier
 from wardline.functions.routine_rules import function_validity, secret_validity
 from wardline.operators.merge import merge_update
+from wardline.operators.rule_tables import with_function_validity, with_secret_validity
 from wardline.sinks.tables import append_audit, exists, publish_version, write_partitions
 from wardline.sources.tables import read_saved, routines_with_definition, typed
 
@@ -26,29 +27,31 @@ from wardline.sources.tables import read_saved, routines_with_definition, typed
 def routine_audit(
     routines: DataFrame,
     as_of: Column | None = None,
-    banned: Iterable[str] = BANNED_FUNCTIONS,
-    allowed: Mapping[str, Iterable[str]] = ALLOWED_KEYS,
+    banned: Iterable[str] | DataFrame = BANNED_FUNCTIONS,
+    allowed: Mapping[str, Iterable[str]] | DataFrame = ALLOWED_KEYS,
 ) -> DataFrame:
     """One row per routine with a definition: both verdicts, their conjunction, time and status.
 
-    A routine that uses no allowed key is invalid, even if it encrypts nothing.
+    A routine that uses no allowed key is invalid, even if it encrypts nothing. Rules may also be
+    tables: ``(name)`` of banned functions, ``(scope, key)`` of allowed keys.
     """
-    return (
-        routines_with_definition(routines)
-        .withColumns(
-            {
-                "isFunctionValid": function_validity("routine_definition", banned),
-                "isSecretValid": secret_validity("routine_definition", allowed),
-            }
-        )
-        .withColumns(
-            {
-                "isValid": (F.col("isFunctionValid") == VALID_FUNCTION)
-                & (F.col("isSecretValid") == VALID_SECRET),
-                "markedAt": F.current_timestamp() if as_of is None else as_of,
-                "status": F.lit(NOT_AUDITED),
-            }
-        )
+    text = "routine_definition"
+    judged = routines_with_definition(routines)
+    if isinstance(banned, DataFrame):
+        judged = with_function_validity(judged, banned, text)
+    else:
+        judged = judged.withColumn("isFunctionValid", function_validity(text, banned))
+    if isinstance(allowed, DataFrame):
+        judged = with_secret_validity(judged, allowed, text)
+    else:
+        judged = judged.withColumn("isSecretValid", secret_validity(text, allowed))
+    return judged.withColumns(
+        {
+            "isValid": (F.col("isFunctionValid") == VALID_FUNCTION)
+            & (F.col("isSecretValid") == VALID_SECRET),
+            "markedAt": F.current_timestamp() if as_of is None else as_of,
+            "status": F.lit(NOT_AUDITED),
+        }
     )
 
 

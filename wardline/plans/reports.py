@@ -23,8 +23,8 @@ from wardline.operators.joins import left_join_many
 def tagged_grants(tags: DataFrame, metadata: Mapping[str, DataFrame]) -> DataFrame:
     """Every tagged securable, its list of tags, and each principal and privilege on it.
 
-    A tagged name that is no known securable keeps one row with NULL principals. Names must not
-    contain dots themselves.
+    A tagged name that is no known securable keeps one row with NULL principals. Tagged names with
+    dots of their own must be written as :func:`identifier` writes them.
     """
     tagged = tags.filter(F.size("tags") > 0)
     owned = owned_securables(metadata).withColumn("owned", F.lit(True))
