@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 
@@ -240,6 +241,32 @@ def test_chunks_do_not_change_ids(spark):
     assert raw == {k: (t or "").encode() for k, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("size, overlap", [(20, 5), (64, 16), (byte_bpe.PART, byte_bpe.PART_OVERLAP)])
+def test_pieces_of_a_text_have_the_ids_of_the_whole(spark, size, overlap):
+    encoding = byte_bpe.tokenizer(byte_bpe.public_tokenizers.path(byte_bpe.RANKS))
+    pattern = byte_bpe.regex.compile(byte_bpe.public_tokenizers.PATTERN)
+    texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    texts += ["日本語の文章、" * 400, "x" * 5000, " \n\t " * 900, "a1b22c333 " * 500, "don't  stop!!\r\n" * 300, "é́" * 2000]
+    cuts = 0
+    for text in texts:
+        cuts += len(byte_bpe.meetings(text or "", size, overlap, pattern))
+        ids = byte_bpe.encoded_pieces(text or "", encoding, pattern, size, overlap)
+        assert ids == encoding.encode_ordinary(text or "")
+    assert cuts > 100
+
+
+def test_digests_are_those_of_the_tokenizer(spark):
+    encoding = byte_bpe.tokenizer(byte_bpe.public_tokenizers.path(byte_bpe.RANKS))
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(-1, None), (-2, ""), (-3, "z" * 40_000)], docs.schema))
+    expected = set()
+    for doc_id, text in docs.collect():
+        ids, raw = encoding.encode_ordinary(text or ""), (text or "").encode()
+        listed = ",".join(map(str, ids)).encode()
+        expected.add((doc_id, len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(raw).hexdigest()))
+    assert {tuple(r) for r in byte_bpe.digests(docs).collect()} == expected
+
+
 def test_bytes_of_odd_rows(odd, none):
     assert byte_bpe.digests(odd).count() == odd.count()
     assert byte_bpe.digests(none).count() == 0

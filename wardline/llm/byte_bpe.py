@@ -7,7 +7,11 @@ a pre-token is depends only on what follows its start. The text is cut there and
 encoded by itself. A common boundary counts if a run of letters or of digits ends at it, for
 such a place parts pre-tokens whatever stands around it. Where an overlap has none (one word of
 many thousand letters), the two chunks are joined again before they are encoded, so the result
-never depends on the size of the chunks. A text that fits one chunk is encoded where it was read.
+never depends on the size of the chunks.
+
+This is done at two sizes. A text of over 33,792 characters is dealt out over tasks in chunks of
+32,768; inside a task every text, or piece of one, is taken in chunks of 1,024. Only a text that fits
+one of those is encoded in one go.
 
 Decoding puts the bytes of the ids together.
 """
@@ -30,6 +34,9 @@ from pyspark.sql import functions as F
 RANKS = "byte_bpe_multi_50k.tiktoken"
 CHUNK = 32_768
 OVERLAP = 1_024
+# Inside a task.
+PART = 1_024
+PART_OVERLAP = 128
 BATCH_IDS = 1 << 20
 
 
@@ -57,6 +64,32 @@ def boundaries(text: str, begin: int, end: int, pattern) -> list[int]:
 SAFE = regex.compile(r"\p{L}(?!\p{L})|\p{N}(?!\p{N})")
 
 
+def meetings(text: str, size: int, overlap: int, pattern) -> list[int]:
+    """Where neighbouring chunks of ``text`` go on alike, one place for each pair that has one."""
+    found, tail = [], []
+    for at in range(0, max(1, len(text) - overlap), size):
+        part = text[at : at + size + overlap]
+        head = boundaries(part[: 2 * overlap], 0, overlap, pattern) if tail else []
+        common = set(head).intersection(tail)
+        if common:
+            found.append(at + min(common))
+        tail = [b - size for b in boundaries(part, size, size + overlap, pattern)]
+    return found
+
+
+def encoded_pieces(
+    text: str, encoding: tiktoken.Encoding, pattern, size: int = PART, overlap: int = PART_OVERLAP
+) -> list[int]:
+    """The ids of a text: those of the pieces between its chunks' meetings, one after the other."""
+    if len(text) <= size + overlap:
+        return encoding.encode_ordinary(text)
+    cuts = [0, *meetings(text, size, overlap, pattern), len(text)]
+    ids: list[int] = []
+    for begin, end in zip(cuts, cuts[1:]):
+        ids += encoding.encode_ordinary(text[begin:end])
+    return ids
+
+
 def _chunks(size: int, overlap: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,11 +136,11 @@ def _encoded(path: str, pattern: str, key: str):
     """Ids of every ``text``, in batches of bounded size."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = tokenizer(path, pattern)
+        encoding, compiled = tokenizer(path, pattern), regex.compile(pattern)
         for batch in batches:
             key_type, keys, ids, held = batch.column(key).type, [], [], 0
             for own, text in zip(batch.column(key).to_pylist(), batch.column("text"), strict=True):
-                found = np.array(encoding.encode_ordinary(text.as_py() or ""), np.int32)
+                found = np.array(encoded_pieces(text.as_py() or "", encoding, compiled), np.int32)
                 keys.append(own)
                 ids.append(found)
                 held += len(found)
@@ -164,8 +197,8 @@ def encode(
 ) -> DataFrame:
     """``doc_id, ids`` of every row of ``docs``.
 
-    A null or empty text has no ids. Ids of documents are passed on, null or repeated ones too;
-    repeated rows give repeated results. Other columns are not read. ``path`` is a rank file that
+    A null or empty text has no ids; no rows give no rows. Ids of documents are passed on, null or
+    repeated ones too; repeated rows give repeated results. Other columns, of any name, are not read. ``path`` is a rank file that
     every executor has.
     """
     path = path or public_tokenizers.path(RANKS)
@@ -219,7 +252,12 @@ def decode(tokens: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row of ``docs``."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row of ``docs``.
+
+    A null or empty text has no tokens and the digests of nothing. Null and repeated ids, repeated
+    rows and texts of any length are rows like others; columns other than ``doc_id`` and ``text`` are
+    not read; no rows give no rows.
+    """
     path = path or public_tokenizers.path(RANKS)
     tokens = encode(docs, path)
     id_type = tokens.schema["doc_id"].dataType.simpleString()
