@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -36,7 +37,7 @@ CHUNK = 32_768
 OVERLAP = 1_024
 # Inside a task.
 PART = 1_024
-PART_OVERLAP = 128
+PART_OVERLAP = 64
 BATCH_IDS = 1 << 20
 
 
@@ -53,12 +54,12 @@ def boundaries(text: str, begin: int, end: int, pattern) -> list[int]:
 
     The last pre-token may go on behind the text and is no evidence; its start is.
     """
-    found = []
-    for match in pattern.finditer(text):
-        at = match.start()
-        if begin <= at < end and at and SAFE.match(text, at - 1):
-            found.append(at)
-    return found
+    starts = [match.start() for match in pattern.finditer(text)]
+    return _safe(text, [at for at in starts if begin <= at < end])
+
+
+def _safe(text: str, starts: list[int]) -> list[int]:
+    return [at for at in starts if at and SAFE.match(text, at - 1)]
 
 
 SAFE = regex.compile(r"\p{L}(?!\p{L})|\p{N}(?!\p{N})")
@@ -68,12 +69,17 @@ def meetings(text: str, size: int, overlap: int, pattern) -> list[int]:
     """Where neighbouring chunks of ``text`` go on alike, one place for each pair that has one."""
     found, tail = [], []
     for at in range(0, max(1, len(text) - overlap), size):
-        part = text[at : at + size + overlap]
-        head = boundaries(part[: 2 * overlap], 0, overlap, pattern) if tail else []
-        common = set(head).intersection(tail)
-        if common:
-            found.append(at + min(common))
-        tail = [b - size for b in boundaries(part, size, size + overlap, pattern)]
+        last = at + size + overlap >= len(text)
+        # A chunk is read once for both of its ends; of the last one the first is enough.
+        part = text[at : at + (2 * overlap if last else size + overlap)]
+        starts = [match.start() for match in pattern.finditer(part)]
+        if tail:
+            head = _safe(part, starts[: bisect_left(starts, overlap)])
+            common = set(head).intersection(tail)
+            if common:
+                found.append(at + min(common))
+        if not last:
+            tail = [b - size for b in _safe(part, starts[bisect_left(starts, size) :])]
     return found
 
 
