@@ -166,11 +166,12 @@ def test_languages(spark, odd, none):
 def test_toxicity(spark, odd, none):
     docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/labels.parquet")
-    languages = language_id.fit(docs)
-    net = toxicity.fit(docs, labels, languages)
-    scored = toxicity.scores(docs, net, languages).join(labels, "doc_id")
+    languages = language_id.fit(docs.where("doc_id % 3 > 0"))
+    net = toxicity.fit(docs, labels.where("doc_id % 3 > 0"), languages)
+    held = labels.where("doc_id % 3 = 0")
+    scored = toxicity.scores(docs, net, languages).join(held, "doc_id")
     right = scored.where("(score >= 0.5) = (toxic = 1)").count()
-    assert right >= 0.95 * scored.count()
+    assert right >= 0.95 * scored.count() > 0
     assert all(0 <= r.score <= 1 for r in toxicity.scores(odd, net, languages).collect())
     assert toxicity.scores(none, net, languages).count() == 0
     empty = toxicity.fit(docs, labels.where("false"), languages)
@@ -328,6 +329,118 @@ def test_components(spark):
     assert {tuple(r) for r in found.collect()} == {(k, 0) for k in range(41)} | {(100, 100), (101, 100)}
 
 
+CLASHES = """_row _none _host _path prior top log_odds _prior_host _prior_path host quality_score _order _bucket
+ _whole _extra _before _edge _s _source _more words weight most size source_size target taken _turn own_0 own_1 own_5
+ id repeated first open late mark run context n_words n_removed kept_text kept_id dropped suspected row
+ component_id kept n_shingles rid part cut piece""".split()
+
+
+def clashing(odd):
+    """Rows with a column for every name the operators use themselves, and their values by row."""
+    kept = odd.select("doc_id", "text", "lang", "source", "n_chars")
+    return kept.select("*", *[F.lit(f"mine {c}").alias(c) for c in CLASHES])
+
+
+def own_values(df, but=()):
+    names = [c for c in CLASHES if c not in but]
+    return {tuple(r) for r in df.select(*names).collect()} <= {tuple(f"mine {c}" for c in names)}
+
+
+def test_columns_with_the_names_of_the_operators_own(spark, odd):
+    df = clashing(odd)
+    model = quality.fit(spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet"))
+    judged = quality.classify(df, model)
+    assert judged.count() == df.count() and own_values(judged, ["quality_score"])
+    mixed = mixing.mix_sources(df)
+    counts = ["size", "source_size", "target", "taken"]
+    assert mixed.count() == df.count() and own_values(mixed, counts)
+    plain = mixing.mix_sources(odd)
+    shown = ["doc_id", *counts]
+    assert Counter(map(tuple, mixed.select(*shown).collect())) == Counter(map(tuple, plain.select(*shown).collect()))
+    columns = [c for c in df.columns if c not in counts]
+    again = mixing.repeated(mixed, columns)
+    assert again.columns == columns and own_values(again, counts)
+    assert again.count() == mixing.repeated(plain, ["doc_id", "text"]).count()
+    left = substring_dedup.without_repeats(df)
+    assert left.columns == df.columns and left.count() == df.count() and own_values(left)
+    assert minhash_dedup.near_duplicates(df).count() == df.count()
+    assert byte_bpe.digests(df).count() == df.count()
+
+
+def test_columns_through_the_stages(spark, odd):
+    df = clashing(odd)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        done = stage(spark, df, SMALL)
+        assert done.columns == df.columns and own_values(done) and done.count() > 0, name
+
+
+def shingles(text, n):
+    own = words(lower(text))
+    return {tuple(own[k : k + n]) for k in range(max(1, len(own) - n + 1))} if own else set()
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def one_of_each_group(rows):
+    sets, least = {k: shingles(t, 5) for k, t in rows}, {k: k for k, _ in rows}
+    for _ in rows:
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if sets[a] and both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                    least[a] = min(least[a], least[b])
+    return [(k, t) for k, t in rows if least[k] == k]
+
+
+def without_repeats(rows, n=20):
+    seen, out = set(), []
+    for k, text in sorted(rows):
+        own, gone = words(text), set()
+        for at in range(len(own) - n + 1):
+            run = tuple(own[at : at + n])
+            if run in seen:
+                gone.update(range(at, at + n))
+            seen.add(run)
+        out.append((k, " ".join(w for i, w in enumerate(own) if i not in gone) if gone else text))
+    return out
+
+
+def test_stages_against_plain_python(spark):
+    rng = np.random.default_rng(8)
+    base = [[f"w{rng.integers(10**6)}" for _ in range(int(rng.integers(30, 120)))] for _ in range(24)]
+    shared = [f"s{k}" for k in range(55)]
+    texts = [" ".join(t) for t in base]
+    texts += [" ".join([*base[k], "Tail"]) for k in range(6)] + [texts[0], texts[0].upper()]
+    texts += [" ".join(base[k][:20] + shared + base[k][20:25]) for k in range(10, 14)] + ["", "one two"]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame([(k, t, f"src{k % 3}", len(t)) for k, t in rows], "doc_id long, text string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def found(df):
+        return sorted((r.doc_id, r.text) for r in df.collect())
+
+    docs = stages["near duplicates"](spark, docs, SMALL)
+    rows = one_of_each_group(rows)
+    assert found(docs) == rows and len(rows) == 24 + 4 + 2
+    docs = stages["repeated passages"](spark, docs, SMALL)
+    rows = without_repeats(rows)
+    assert found(docs) == rows and sum("s30" in words(t) for _, t in rows) == 1
+    taken = {r.doc_id: r.taken for r in mixing.mix_sources(docs).collect()}
+    docs = stages["mix"](spark, docs, SMALL)
+    expected = []
+    for k, text in rows:
+        own, left = words(text), taken[k]
+        while left > 0:
+            expected.append((k, text if left >= len(own) else " ".join(own[:left])))
+            left -= len(own)
+    assert found(docs) == sorted(expected)
+    encoding = byte_bpe.tokenizer(byte_bpe.public_tokenizers.path(byte_bpe.RANKS))
+    counts = Counter((r.doc_id, r.n_tokens) for r in stages["tokens"](spark, docs, SMALL).collect())
+    assert counts == Counter((k, len(encoding.encode_ordinary(t))) for k, t in expected)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     before = docs

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,20 @@ def read(spark, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def set_aside(docs: DataFrame, keep: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` without any name an operator could use itself, and what gives the columns back.
+
+    Columns in ``keep`` stay as they are; any other is called ``own_<number>`` until then.
+    """
+    names = {c: c if c in keep else f"own_{k}" for k, c in enumerate(docs.columns)}
+
+    def quoted(name: str) -> Column:
+        return F.col("`" + name.replace("`", "``") + "`")
+
+    renamed = docs.select(*[quoted(c).alias(name) for c, name in names.items()])
+    return renamed, [F.col(name).alias(c) for c, name in names.items()]
+
+
 def n_words(text: str) -> Column:
     """How many runs of characters other than ASCII white space a text column has."""
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.common import WORD, n_words, stored
+from wardline.llm.common import WORD, n_words, set_aside, stored
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -95,9 +95,12 @@ def mix_sources(
     other not. A null id is an id. Columns of ``docs`` that have the name of a new one are
     replaced. No rows give no rows.
     """
-    own = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "taken")]
+    new = ("size", "source_size", "target", "taken")
+    docs, own = set_aside(
+        docs.select(*[c for c in docs.columns if c.lower() not in new]), ("doc_id", "source", "text")
+    )
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = docs.select(*own, n_words("text").alias("size"), order.alias("_order"))
+    sized = docs.select("*", n_words("text").alias("size"), order.alias("_order"))
     sized = sized.withColumn("_bucket", F.substring("_order", 1, 4))
     buckets = stored(
         sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words")), "buckets"
@@ -161,21 +164,24 @@ def repeated(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The mix itself: each document as often as it is taken, the last time perhaps in part.
 
     A part is the first words of the document joined by one space; its ``n_chars`` is its own length.
-    Documents without words, or not taken, are left out.
+    Documents without words, or not taken, are left out. Of ``columns``, those called as the counts of
+    :func:`mix_sources` are these counts.
     """
+    frame, known = set_aside(mixed, ("text", "n_chars", "taken", "size"))
+    known = dict(zip(mixed.columns, known, strict=True))
     times = F.ceil(F.col("taken") / F.col("size")).cast("int")
     rest = (F.col("taken") - (F.col("_turn") - 1) * F.col("size")).cast("int")
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
     part = F.array_join(F.slice(words, F.lit(1), rest), " ")
-    turns = mixed.where("taken > 0").select(
-        *columns, "taken", "size", F.explode(F.sequence(F.lit(1), times)).alias("_turn")
+    turns = frame.where("taken > 0").select(
+        "*", F.explode(F.sequence(F.lit(1), times)).alias("_turn")
     )
     whole = rest >= F.col("size")
     new = {"text": F.when(whole, F.col("text")).otherwise(part)}
     if "n_chars" in columns:
         length = F.when(whole, F.col("n_chars")).otherwise(F.char_length(part))
         new["n_chars"] = length.cast(mixed.schema["n_chars"].dataType)
-    return turns.select(*[new.get(c, F.col(c)).alias(c) for c in columns])
+    return turns.select(*[new[c].alias(c) if c in new else known[c] for c in columns])
 
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.llm.common import remainder, stored
+from wardline.llm.common import remainder, set_aside, stored
 from wardline.llm.language_id import bounded_sample
 from wardline.llm.words import SAME, WHITE, pieces, slices, text_buffer
 
@@ -217,10 +217,12 @@ def classify(docs: DataFrame, model: Evidence) -> DataFrame:
 
     A null or empty text has the evidence of a text without characters. Ids pass through, null or
     repeated; repeated rows count as often as they occur. A column ``quality_score`` of ``docs``
-    is replaced. No rows give no rows.
+    is replaced; all others are given back, whatever their names. No rows give no rows.
     """
-    own = [c for c in docs.columns if c.lower() not in ("quality_score", "_host", "_path")]
-    sited = with_sites(docs.select(*own))
+    docs, own = set_aside(
+        docs.select(*[c for c in docs.columns if c.lower() != "quality_score"]), ("text", "source")
+    )
+    sited = with_sites(docs)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.llm.common import stored
+from wardline.llm.common import set_aside, stored
 from wardline.llm.words import MULTIPLIERS, Piece, Ranges, pieces, signed, windows
 
 WINDOW = 20
@@ -265,6 +265,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A text that loses nothing stays as it is, a null one null. A column ``n_chars`` is the length
     of the new text.
     """
+    docs, back = set_aside(docs, ("doc_id", "text", "n_chars"))
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     # A struct, so that no name of another column can be that of a result.
     row = F.struct(F.lit(0).alias("_none"), *[F.col(c) for c in others]).alias("_row")
@@ -274,7 +275,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         length = F.when(F.col("n_removed") > 0, F.char_length("kept_text"))
         length = length.otherwise(F.col("_row.n_chars"))
         new["n_chars"] = length.cast(docs.schema["n_chars"].dataType)
-    return kept.select(*[new.get(c, F.col(f"_row.{c}")).alias(c) for c in docs.columns])
+    kept = kept.select(*[new.get(c, F.col(f"_row.{c}")).alias(c) for c in docs.columns])
+    return kept.select(*back)
 
 
 def op1_substring_dedup(spark, folder: str) -> DataFrame:
