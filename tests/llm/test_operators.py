@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -68,6 +69,45 @@ def test_repeats_of_odd_rows(odd, none):
     assert substring_dedup.without_repeats(odd).columns == odd.columns
 
 
+@pytest.mark.parametrize("ids", ["own", "shared", "none", "mixed"])
+def test_repeats_of_rows_that_share_an_id(spark, ids):
+    """Against plain Python: rows of one id are one document, and each keeps its own text."""
+    draw = random.Random(7)
+    shared = [[f"p{k}w{i}" for i in range(draw.randint(22, 60))] for k in range(6)]
+    texts = []
+    for k in range(60):
+        parts = [draw.choice(shared) if draw.random() < 0.5 else [f"r{k}x{i}" for i in range(15)] for _ in range(4)]
+        texts.append(" ".join(w for part in parts for w in part))
+    texts += texts[:5]
+    pick = {
+        "own": lambda k: k,
+        "shared": lambda k: k // 20,
+        "none": lambda k: None,
+        "mixed": lambda k: None if k % 3 == 0 else k // 2,
+    }[ids]
+    rows = [(pick(k), text) for k, text in enumerate(texts)]
+    first = {}
+    for doc_id, text in rows:
+        own = text.split()
+        for i in range(len(own) - 19):
+            place = (doc_id is None, doc_id or 0)
+            key = tuple(own[i : i + 20])
+            first[key] = min(first.get(key, place), place)
+    expected = []
+    for doc_id, text in rows:
+        own, seen, gone = text.split(), set(), set()
+        for i in range(len(own) - 19):
+            key = tuple(own[i : i + 20])
+            if key in seen or first[key] != (doc_id is None, doc_id or 0):
+                gone.update(range(i, i + 20))
+            seen.add(key)
+        kept = " ".join(w for i, w in enumerate(own) if i not in gone)
+        expected.append((str(doc_id), len(own), len(gone), kept))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = substring_dedup.remove_repeats(docs).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in found) == sorted(expected)
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     found = {r.doc_id: r for r in minhash_dedup.near_duplicates(odd).collect()}
     assert found[2].component_id == 1 and found[None].component_id == 1

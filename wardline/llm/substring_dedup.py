@@ -14,24 +14,25 @@ run has several contexts (the edges of copied passages). Again the first documen
 window keeps it. A third level of twice the length could change nothing: its passages consist of
 windows already removed. Repeats inside a document are found in the document itself.
 
-Texts are shuffled by id, and only rows of numbers move otherwise. All grouping is by hashes with
+Texts are shuffled by id, and by a hash of their own where several rows share an id or have none;
+only rows of numbers move otherwise. All grouping is by hashes with
 partial aggregation, so a passage that stands in a third of all documents is one row for each map
 task; joins on such passages have one row per key on one side and can be split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardline.llm.common import set_aside, stored
+from wardline.llm.common import set_aside, sieve, stored
 from wardline.llm.words import MULTIPLIERS, Piece, Ranges, pieces, signed, windows
 
 WINDOW = 20
@@ -95,14 +96,14 @@ def _listed(rows: np.ndarray, values: np.ndarray, lists: pa.Array, first: int, n
 def _runs(window: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, salts = batch.column("doc_id"), batch.column("salt")
             for piece in pieces(batch.column("text")):
                 level = Level(piece, window)
                 if len(level.low):
-                    owner = piece.first + piece.rows[level.low]
+                    owner = pa.array(piece.first + piece.rows[level.low])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(level.run), pa.array(level.context), ids.take(pa.array(owner))],
-                        names=["run", "context", "doc_id"],
+                        [pa.array(level.run), pa.array(level.context), ids.take(owner), salts.take(owner)],
+                        names=["run", "context", "doc_id", "salt"],
                     )
 
     return emit
@@ -111,7 +112,7 @@ def _runs(window: int):
 def _edges(window: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids, salts = batch.column("doc_id"), batch.column("salt")
             for piece in pieces(batch.column("text")):
                 level, n = Level(piece, window), len(piece.counts)
                 rows = piece.rows
@@ -121,8 +122,8 @@ def _edges(window: int):
                     a, b = level.keys(starts)
                     owner = pa.array(piece.first + rows[starts])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(a), pa.array(b), ids.take(owner)],
-                        names=["key_a", "key_b", "doc_id"],
+                        [pa.array(a), pa.array(b), ids.take(owner), salts.take(owner)],
+                        names=["key_a", "key_b", "doc_id", "salt"],
                     )
 
     return emit
@@ -190,6 +191,28 @@ def _kept(window: int, others: list[str], as_is: bool):
     return emit
 
 
+def _sharing(docs: DataFrame) -> Callable[[Column], Column]:
+    """A condition on an id that holds if several rows have it, or none, and for few others."""
+    shared = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    shared = stored(shared, "shared-ids")
+    return (lambda _: F.lit(False)) if shared.isEmpty() else sieve(shared)
+
+
+def _salt(shares: Column) -> Column:
+    """``salt``: a hash of the text, not 0, where rows share an id, else 0.
+
+    What is found for a row is gathered by id and salt, so rows that share an id, or have none, are
+    gathered apart.
+    """
+    own = F.xxhash64("text")
+    own = F.when(own == 0, F.lit(1).cast("long")).otherwise(own)
+    return F.when(shares, own).otherwise(F.lit(0).cast("long")).alias("salt")
+
+
+def _same(rows: DataFrame, doc_id: str, salt: str) -> Column:
+    return rows["doc_id"].eqNullSafe(F.col(doc_id)) & (rows["salt"] == F.col(salt))
+
+
 def remove_repeats(
     docs: DataFrame, window: int = WINDOW, others: Sequence[str] = (), as_is: bool = False
 ) -> DataFrame:
@@ -206,37 +229,52 @@ def remove_repeats(
     result. No rows give no rows.
     """
     others = list(others)
-    whole = docs.select("doc_id", "text", *[F.col(c).alias(f"own_{k}") for k, c in enumerate(others)])
-    docs = docs.select("doc_id", "text")
+    shares = _sharing(docs)
+    salt = _salt(shares(F.col("doc_id")))
+    whole = docs.select(
+        "doc_id", "text", salt, *[F.col(c).alias(f"own_{k}") for k, c in enumerate(others)]
+    )
+    docs = docs.select("doc_id", "text", salt)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    runs = docs.mapInArrow(_runs(window), f"run long, context long, doc_id {id_type}")
+    runs = docs.mapInArrow(_runs(window), f"run long, context long, doc_id {id_type}, salt long")
     again = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("run")
     found = runs.join(again, "run")
 
     contexts = found.groupBy("run", "context").agg(F.min("doc_id").alias("doc_id"))
     many = contexts.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     many = many.select(F.col("run").alias("many"))
+    mark = F.when(F.col("many").isNull(), 1).otherwise(2).alias("mark")
     firsts = contexts.join(many, F.col("run") == F.col("many"), "left")
-    marks = found.select("doc_id", "context", F.lit(0).alias("mark")).unionByName(
-        firsts.select(
-            "doc_id", "context", F.when(F.col("many").isNull(), 1).otherwise(2).alias("mark")
+    firsts = firsts.select("run", "context", "doc_id", mark)
+    marks = found.select("doc_id", "salt", "context", F.lit(0).alias("mark")).unionByName(
+        firsts.where(~shares(F.col("doc_id"))).select(
+            "doc_id", F.lit(0).cast("long").alias("salt"), "context", "mark"
         )
     )
+    # Where rows share the id that has a context first, each of them that has it.
+    sharing = docs.where("salt <> 0").mapInArrow(
+        _runs(window), f"run long, context long, doc_id {id_type}, salt long"
+    )
+    sharing = sharing.alias("s").join(
+        firsts.where(shares(F.col("doc_id"))).alias("f"),
+        F.expr("s.run = f.run AND s.context = f.context AND s.doc_id <=> f.doc_id"),
+    )
+    marks = marks.unionByName(sharing.select("s.doc_id", "s.salt", "s.context", "f.mark"))
+    # Sets, since rows with one id and one text are told apart by nothing.
     marks = stored(
-        marks.groupBy(F.col("doc_id").alias("id")).agg(
-            F.collect_list(F.when(F.col("mark") == 0, F.col("context"))).alias("repeated"),
-            F.collect_list(F.when(F.col("mark") > 0, F.col("context"))).alias("first"),
-            F.collect_list(F.when(F.col("mark") == 2, F.col("context"))).alias("open"),
+        marks.groupBy(F.col("doc_id").alias("id"), F.col("salt").alias("id_salt")).agg(
+            F.collect_set(F.when(F.col("mark") == 0, F.col("context"))).alias("repeated"),
+            F.collect_set(F.when(F.col("mark") > 0, F.col("context"))).alias("first"),
+            F.collect_set(F.when(F.col("mark") == 2, F.col("context"))).alias("open"),
         ),
         "marks",
     )
-    same = docs["doc_id"].eqNullSafe(F.col("id"))
 
     edges = (
-        docs.join(marks, same)
+        docs.join(marks, _same(docs, "id", "id_salt"))
         .where(F.size("open") > 0)
-        .select("doc_id", "text", "open")
-        .mapInArrow(_edges(window), f"key_a long, key_b long, doc_id {id_type}")
+        .select("doc_id", "text", "salt", "open")
+        .mapInArrow(_edges(window), f"key_a long, key_b long, doc_id {id_type}, salt long")
     )
     owners = edges.groupBy("key_a", "key_b").agg(
         F.min("doc_id").alias("owner"), F.count(F.lit(1)).alias("n")
@@ -244,14 +282,14 @@ def remove_repeats(
     late = (
         edges.join(owners.where("n > 1"), ["key_a", "key_b"])
         .where(F.col("owner").isNotNull() & ~F.col("owner").eqNullSafe(F.col("doc_id")))
-        .groupBy(F.col("doc_id").alias("late_id"))
-        .agg(F.collect_list("key_a").alias("late"))
+        .groupBy(F.col("doc_id").alias("late_id"), F.col("salt").alias("late_salt"))
+        .agg(F.collect_set("key_a").alias("late"))
     )
     more = [T.StructField(c, whole.schema[f"own_{k}"].dataType) for k, c in enumerate(others)]
     result = f"doc_id {id_type}, n_words long, n_removed long, kept_text string"
     return (
-        whole.join(marks, whole["doc_id"].eqNullSafe(F.col("id")), "left")
-        .join(late, whole["doc_id"].eqNullSafe(F.col("late_id")), "left")
+        whole.join(marks, _same(whole, "id", "id_salt"), "left")
+        .join(late, _same(whole, "late_id", "late_salt"), "left")
         .select(*whole.columns, "repeated", "first", "late")
         .mapInArrow(
             _kept(window, others, as_is), T.StructType([*T.StructType.fromDDL(result), *more])
