@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -66,20 +65,19 @@ SAFE = regex.compile(r"\p{L}(?!\p{L})|\p{N}(?!\p{N})")
 
 
 def meetings(text: str, size: int, overlap: int, pattern) -> list[int]:
-    """Where neighbouring chunks of ``text`` go on alike, one place for each pair that has one."""
-    found, tail = [], []
-    for at in range(0, max(1, len(text) - overlap), size):
-        last = at + size + overlap >= len(text)
-        # A chunk is read once for both of its ends; of the last one the first is enough.
-        part = text[at : at + (2 * overlap if last else size + overlap)]
-        starts = [match.start() for match in pattern.finditer(part)]
-        if tail:
-            head = _safe(part, starts[: bisect_left(starts, overlap)])
-            common = set(head).intersection(tail)
-            if common:
-                found.append(at + min(common))
-        if not last:
-            tail = [b - size for b in _safe(part, starts[bisect_left(starts, size) :])]
+    """Where neighbouring chunks of ``text`` go on alike, one place for each pair that has one.
+
+    The chunk before is read from ``overlap`` characters in front of the next one's start, which is
+    as good as any other place: only boundaries that stand wherever reading starts are compared.
+    """
+    found = []
+    for at in range(size, len(text) - overlap, size):
+        before = max(0, at - overlap)
+        tail = boundaries(text[before : at + 2 * overlap], at - before, at - before + overlap, pattern)
+        head = boundaries(text[at : at + 2 * overlap], 0, overlap, pattern)
+        common = {before + b for b in tail}.intersection(at + b for b in head)
+        if common:
+            found.append(min(common))
     return found
 
 
