@@ -251,6 +251,54 @@ def test_planted_links_meet_with_and_without_a_common_mean(mean):
     assert (meet & (np.bitwise_count(differ).sum(axis=1, dtype=int) <= limit)).mean() >= 0.997
 
 
+@pytest.mark.parametrize("width", [16, 18, 21, 24])
+def test_planted_links_meet_in_longer_substrings(width):
+    model, limit = embedding_dedup.fit(around(0.3, 4000)[0], 0.95, width)
+    differ = np.bitwise_xor(*[embedding_dedup.encode(x, model) for x in around(0.3, 3000, seed=6)])
+    bits = model[0][1].shape[1]
+    parts = [p for word in differ.T for p in embedding_dedup.substrings(word, bits, width)]
+    assert len(parts) == len(model) * (64 // width)
+    meet = np.min([np.bitwise_count(p) for p in parts], axis=0) <= 1
+    assert (meet & (np.bitwise_count(differ).sum(axis=1, dtype=int) <= limit)).mean() >= 0.997
+
+
+def test_substrings_grow_with_the_number_of_vectors():
+    assert embedding_dedup.widths(500) == [16] and embedding_dedup.widths(1 << 24) == [16, 19, 22, 25]
+    sample, chosen = around(0.3, 4000)[0], []
+    assert embedding_dedup.fit(sample, 0.95, 32) is None
+    for n in (1 << 16, 1 << 20, 1 << 24, 1 << 33):
+        fits = {w: f for w in embedding_dedup.widths(n) if (f := embedding_dedup.fit(sample, 0.95, w))}
+        chosen.append(min(fits, key=lambda w: embedding_dedup.work(fits[w][0], w, n)))
+        assert n / 2 ** chosen[-1] <= 512
+    assert chosen == sorted(chosen) and chosen[-1] > chosen[0]
+
+
+@pytest.mark.parametrize("width", [None, 21, 24])
+def test_thousands_of_links_against_brute_force(spark, width):
+    """Pairs, clusters around one vector and equal vectors, of 6,000 vectors in all."""
+    pairs = np.concatenate(around(0.5, 2000))
+    rng = np.random.default_rng(9)
+    middle = rng.normal(size=(20, 1, 64))
+    near = (middle + 0.18 * rng.normal(size=(20, 90, 64))).reshape(-1, 64)
+    x = np.concatenate([pairs, near, pairs[:200]])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = embedding_dedup.near_duplicates(df, width=width).collect()
+    close = x @ x.T >= 0.95
+    label = np.arange(len(x))
+    while True:
+        lower = np.array([label[row].min() for row in close])
+        if (lower == label).all():
+            break
+        label = lower
+    links = close.sum(axis=1) - 1
+    assert links.sum() > 20_000
+    assert {(r.vec_id, r.n_links, r.component_id) for r in found} == set(
+        zip(range(len(x)), links.tolist(), label.tolist(), strict=True)
+    )
+
+
 def test_vectors_of_every_length_link_among_themselves(spark):
     sets = [around(0.0, 40, dims=8), around(0.0, 20, dims=12), around(0.5, 540, dims=64), around(0.5, 520, dims=48)]
     sets = [np.concatenate(pair) for pair in sets]

@@ -8,7 +8,9 @@ centred vectors differ by a larger angle than raw ones where all share a directi
 added until tables and radius miss ``MISSED`` of these pairs at most; if ``MOST_ROTATIONS`` do not,
 all vectors are one candidate group.
 
-*Tables.* Every code is cut into substrings of ``SUBSTRING`` bits, one table each. Two vectors meet
+*Tables.* Every code is cut into substrings, one table each. They have ``SUBSTRING`` bits or more, at
+most as many as the number of vectors: long ones keep places small however many vectors there are,
+but need more rotations, so the length with the least work is taken. Two vectors meet
 in a table if their substrings differ in one bit at most: a vector is filed under its substring and
 probes those with one of its zeros turned into a one, so a pair that differs in one bit meets
 once. Where vectors meet, their whole codes are compared, and pairs within the radius join one
@@ -16,7 +18,7 @@ candidate group. Only links to the smallest such partner leave a task.
 
 *Rerank.* In each candidate group all vectors are compared by cosine in double precision, in blocks
 of ``BLOCK`` vectors. Only counts and a spanning forest of the links leave a task. Equal vectors
-are one vector with a weight. Meetings and groups of more than a block are dealt out as pairs of
+are one vector with a weight and a number. Meetings and groups of more than a block are dealt out as pairs of
 blocks, so no task gets an unbounded group.
 """
 
@@ -40,19 +42,23 @@ ROTATIONS = 3
 MOST_ROTATIONS = 16
 MISSED = 0.001
 SUBSTRING = 16
+LONGEST = 32
 SAMPLE = 4_000
+VECTORS_A_DIMENSION = 8
 BLOCK = 1_024
 SMALL = 48
 # So few vectors of a length are compared without codes: there is nothing to learn from them.
 FEW = 64
 
 
-def learn(sample: np.ndarray, rotations: int = ROTATIONS, rounds: int = 40) -> list[tuple]:
+def learn(
+    sample: np.ndarray, rotations: int = ROTATIONS, rounds: int = 40, width: int = SUBSTRING
+) -> list[tuple]:
     """``(mean, projection)`` of each rotation, from unit vectors as rows."""
     mean = sample.mean(axis=0)
     x = sample - mean
     _, _, axes = np.linalg.svd(x, full_matrices=False)
-    bits = min(64, len(axes) - len(axes) % SUBSTRING) or len(axes)
+    bits = min(64, len(axes) - len(axes) % width) or len(axes)
     axes = axes[:bits].T
     v, found = x @ axes, []
     for k in range(rotations):
@@ -94,20 +100,49 @@ def planted(sample: np.ndarray, least: float) -> list[tuple[np.ndarray, np.ndarr
     return pairs
 
 
-def fit(sample: np.ndarray, least: float) -> tuple[list[tuple], int] | None:
-    """The fewest rotations, and the radius, that find planted pairs; none if too many are missed."""
-    pairs = planted(sample, least)
+def widths(n: int) -> list[int]:
+    """Lengths of substrings to choose from for ``n`` vectors."""
+    best = min(LONGEST, max(SUBSTRING, n.bit_length()))
+    return [*range(SUBSTRING, best, 3), best]
+
+
+def work(model: list[tuple], width: int, n: int) -> float:
+    """Rows that a vector is filed as, and other vectors that it meets there."""
+    tables = len(model) * max(1, model[0][1].shape[1] // width)
+    return tables * (1 + width / 2) * (1 + n / 2**width)
+
+
+def substrings(code: np.ndarray, bits: int, width: int) -> Iterator[np.ndarray]:
+    """The substrings of one column of words, a table each; a code shorter than one is one."""
+    for at in range(0, max(width, bits // width * width), width):
+        yield (code >> np.uint64(at)) & np.uint64((1 << width) - 1)
+
+
+def fit(sample: np.ndarray, least: float, width: int = SUBSTRING) -> tuple[list[tuple], int] | None:
+    """The fewest rotations, and the radius, that find planted pairs; none if too many are missed.
+
+    Codes fit the vectors they are learnt from better than others, so half of the sample learns and
+    pairs are planted around the other half. A sample of few vectors a dimension does both as a whole.
+    """
+    held, half = sample, len(sample) // 2
+    if half >= VECTORS_A_DIMENSION * sample.shape[1]:
+        sample, held = sample[:half], sample[half:]
+    pairs = planted(held, least)
     for most in (ROTATIONS, MOST_ROTATIONS):
-        model = learn(sample, most)
-        tables = max(1, model[0][1].shape[1] // SUBSTRING)
+        model = learn(sample, most, width=width)
+        bits = model[0][1].shape[1]
         codes = [encode(x, model) ^ encode(y, model) for x, y in pairs]
+        # In how many bits the nearest substring of each rotation differs.
+        nearest = [
+            np.stack([np.min([np.bitwise_count(p) for p in substrings(w, bits, width)], axis=0) for w in c.T])
+            for c in codes
+        ]
         for n in range(ROTATIONS, most + 1):
             differ = [np.ascontiguousarray(c[:, :n]) for c in codes]
             far = [np.bitwise_count(d).sum(axis=1, dtype=np.int64) for d in differ]
             # The mean and four and a half deviations more, and what was seen at least.
             limit = max([max(int(np.ceil(f.mean() + 4.5 * f.std() + 1)), int(f.max())) for f in far], default=0)
-            parts = [d.view(np.uint16).reshape(len(d), n, -1)[:, :, :tables] for d in differ]
-            if all((np.bitwise_count(p).min(axis=(1, 2)) > 1).mean() <= MISSED for p in parts):
+            if all((p[:n].min(axis=0) > 1).mean() <= MISSED for p in nearest):
                 return model[:n], limit
     return None
 
@@ -123,21 +158,21 @@ def _usable(column: pa.Array) -> tuple[list, np.ndarray]:
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``vec_id, key, unit``: the bytes of the unit vector, none for a vector that cannot link."""
+    """``vec_id, name, unit``: the bytes of the unit vector, none for a vector that cannot link."""
     for batch in batches:
         arrays, ok = _usable(batch.column("embedding"))
-        units, keys = [], []
+        units, names = [], []
         for k, good in enumerate(ok):
             x = arrays[k] / np.abs(arrays[k]).max() if good else None
             units.append((x / np.sqrt(x @ x)).tobytes() if good else None)
-            keys.append(hashlib.md5(arrays[k].tobytes()).hexdigest() if good else None)
+            names.append(hashlib.md5(arrays[k].tobytes()).hexdigest() if good else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id"), pa.array(keys, pa.string()), pa.array(units, pa.binary())],
-            names=["vec_id", "key", "unit"],
+            [batch.column("vec_id"), pa.array(names, pa.string()), pa.array(units, pa.binary())],
+            names=["vec_id", "name", "unit"],
         )
 
 
-def _filed(model: list[tuple]):
+def _filed(model: list[tuple], width: int):
     """Rows of the tables: ``place`` (table and substring), ``probe``, ``key`` and the code."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,17 +184,16 @@ def _filed(model: list[tuple]):
                 continue
             code = encode(x.reshape(-1, dims), model)
             words = [pa.array(code[:, k].view(np.int64)) for k in range(code.shape[1])]
-            low = np.uint64((1 << SUBSTRING) - 1)
             table = 0
             for k in range(code.shape[1]):
-                for at in range(0, max(SUBSTRING, model[k][1].shape[1] // SUBSTRING * SUBSTRING), SUBSTRING):
-                    own = ((code[:, k] >> np.uint64(at)) & low).astype(np.int64)
-                    for bit in range(-1, SUBSTRING):
+                for own in substrings(code[:, k], model[k][1].shape[1], width):
+                    own = own.astype(np.int64)
+                    for bit in range(-1, width):
                         who = np.arange(len(own)) if bit < 0 else np.flatnonzero(~own >> bit & 1)
                         place = own[who] | (0 if bit < 0 else 1 << bit)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array(place + (table << SUBSTRING)),
+                                pa.array(place + (table << width)),
                                 pa.array(np.full(len(who), bit >= 0)),
                                 keys.take(pa.array(who)),
                                 *[w.take(pa.array(who)) for w in words],
@@ -211,8 +245,7 @@ def _starts(table: pa.Table, columns: list[str]) -> np.ndarray:
 
 def _links(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
     if len(a):
-        ends = [pa.array(x.astype(object), pa.string()) for x in (a, b)]
-        yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def _forest(close: np.ndarray) -> np.ndarray:
@@ -231,7 +264,7 @@ def _meet(words: int, limit: int):
     """Links of vectors that meet and whose codes are within the limit."""
 
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys = np.array(table.column("key").to_pylist(), dtype="U32")
+        keys = np.array(table.column("key"))
         probe = np.array(table.column("probe"))
         block = np.array(table.column("block"))
         cell = np.array(table.column("cell"))
@@ -277,7 +310,7 @@ def _rerank(least: float):
         starts = np.append(_starts(table, ["place", "cell"]), len(table))
         block, cell = np.array(table.column("block")), np.array(table.column("cell"))
         n = np.array(table.column("n"))
-        keys, units = table.column("key").to_pylist(), table.column("unit").to_pylist()
+        keys, units = np.array(table.column("key")), table.column("unit").to_pylist()
         for low, high in zip(starts[:-1], starts[1:], strict=True):
             lengths = np.array([len(units[k]) for k in range(low, high)])
             for length in np.unique(lengths):
@@ -290,9 +323,9 @@ def _rerank(least: float):
                 label = _forest(close)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([keys[k] for k in at], pa.string()),
+                        pa.array(keys[at]),
                         pa.array((close @ n[at]).astype(np.int64)),
-                        pa.array([keys[k] for k in at[label]], pa.string()),
+                        pa.array(keys[at[label]]),
                     ],
                     names=["key", "links", "partner"],
                 )
@@ -335,7 +368,7 @@ def sorted_cells(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    vectors: DataFrame, least: float = LEAST_COSINE, few: int = FEW
+    vectors: DataFrame, least: float = LEAST_COSINE, few: int = FEW, width: int | None = None
 ) -> DataFrame:
     """One row per row of ``vec_id, embedding``: ``vec_id, n_links, component_id, kept``.
 
@@ -344,19 +377,21 @@ def near_duplicates(
     ``n_links`` counts rows, so a repeated row is a link. A null id is never the smallest of a
     component that has another; a component of null ids alone is null, and its rows are kept.
     Each length has its own codes; the vectors of a length that at most ``few`` have are all compared.
+    ``width`` is the number of bits of a substring, by default what suits the number of vectors.
     Other columns are not read; no rows give no rows.
     """
     id_type = vectors.schema["vec_id"].dataType.simpleString()
     rows = stored(
         vectors.select("vec_id", "embedding").mapInArrow(
-            _units, f"vec_id {id_type}, key string, unit binary"
+            _units, f"vec_id {id_type}, name string, unit binary"
         ),
         "units",
     )
-    groups = rows.where("key IS NOT NULL").groupBy("key").agg(
+    groups = rows.where("name IS NOT NULL").groupBy("name").agg(
         F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("unit").alias("unit")
     )
-    groups = stored(groups, "vectors")
+    # Numbers are given once and stored; a task that runs again writes its part anew.
+    groups = stored(groups.withColumn("key", F.monotonically_increasing_id()), "vectors")
     size = F.octet_length("unit")
     counted = {r[0]: r[1] for r in groups.groupBy(size).count().collect()}
     many = sorted(k for k, n in counted.items() if n > few)
@@ -364,11 +399,13 @@ def near_duplicates(
     if len(many) < len(counted):
         few = groups.where(~size.isin(many)).select(size.cast("string").alias("place"), "key", "n", "unit")
         linked.append(_ranked(few, least))
-    draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64("name"), F.lit(1 << 30)) / float(1 << 30)
     for k in many:
         own = groups.where(size == k)
-        sample = own.where(draw < SAMPLE / counted[k]).orderBy("key").select("unit").collect()
-        linked.append(_linked(own, np.array([np.frombuffer(r[0], float) for r in sample]), least))
+        sample = own.where(draw < SAMPLE / counted[k]).orderBy("name").select("unit").collect()
+        sample = np.array([np.frombuffer(r[0], float) for r in sample])
+        choice = widths(counted[k]) if width is None else [width]
+        linked.append(_linked(own, sample, least, choice, counted[k]))
     if not linked:
         found = groups.select("key", F.lit(0).cast("long").alias("links"), F.col("first").alias("least"))
     else:
@@ -382,11 +419,11 @@ def near_duplicates(
             .join(firsts, F.col("part") == F.col("of"))
             .select("key", F.coalesce("links", F.lit(0)).alias("links"), "least")
         )
-    sizes = groups.select(F.col("key").alias("sized"), "n")
+    sizes = groups.select(F.col("key").alias("sized"), "name", "n")
     found = found.join(sizes, F.col("key") == F.col("sized")).select(
-        F.col("key").alias("own"), (F.col("links") + F.col("n") - 1).alias("n_links"), "least"
+        F.col("name").alias("own"), (F.col("links") + F.col("n") - 1).alias("n_links"), "least"
     )
-    joined = rows.join(found, F.col("key") == F.col("own"), "left")
+    joined = rows.join(found, F.col("name") == F.col("own"), "left")
     component = F.when(F.col("own").isNull(), F.col("vec_id")).otherwise(F.col("least"))
     return joined.select(
         "vec_id",
@@ -396,20 +433,25 @@ def near_duplicates(
     )
 
 
-def _linked(groups: DataFrame, sample: np.ndarray, least: float) -> tuple[DataFrame, DataFrame]:
-    """Weighted link counts, and the component of every vector that has a link."""
-    found = fit(sample, least)
-    if found is None:
+def _linked(
+    groups: DataFrame, sample: np.ndarray, least: float, choice: list[int], n: int
+) -> tuple[DataFrame, DataFrame]:
+    """Weighted link counts, and the component of every one of ``n`` vectors that has a link.
+
+    Substrings have the length of ``choice`` that finds planted pairs with the least work.
+    """
+    fits = [(*found, width) for width in choice if (found := fit(sample, least, width))]
+    if not fits:
         return _ranked(groups.select(F.lit("").alias("place"), "key", "n", "unit"), least)
-    model, limit = found
+    model, limit, width = min(fits, key=lambda f: work(f[0], f[2], n))
     words = len(model)
     code = ", ".join(f"w{i} long" for i in range(words))
     names = ["place", "cell", "block", "probe", "key", *[f"w{i}" for i in range(words)]]
     filed = groups.select("key", "unit").mapInArrow(
-        _filed(model), f"place long, probe boolean, key string, {code}"
+        _filed(model, width), f"place long, probe boolean, key long, {code}"
     )
     meetings = sorted_cells(in_blocks(filed)).select(*names)
-    pairs = meetings.mapInArrow(_by_group(_meet(words, limit), names), "a string, b string")
+    pairs = meetings.mapInArrow(_by_group(_meet(words, limit), names), "a long, b long")
     candidates = components(pairs)
     rows = groups.join(candidates, F.col("key") == F.col("id")).select(
         F.col("component").alias("place"), "key", "n", "unit"
@@ -422,7 +464,7 @@ def _ranked(rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     names = ["place", "cell", "block", "key", "n", "unit"]
     ranked = stored(
         sorted_cells(in_blocks(rows)).select(*names).mapInArrow(
-            _by_group(_rerank(least), names), "key string, links long, partner string"
+            _by_group(_rerank(least), names), "key long, links long, partner long"
         ),
         "ranked",
     )
