@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -403,6 +404,41 @@ def test_shards(spark, odd, none, tmp_path):
         sharding.write_map(spark, f"file://{tmp_path}/a", 1, {0: 0})
 
 
+def test_documents_are_placed_by_the_edited_map(spark, tmp_path):
+    """Sizes, checksums, places and bytes of the shards against plain Python, over three versions."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    folder = f"file://{tmp_path}/maps"
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    maps, loads = {}, {}
+    for version, shards in ((None, 8), (2, 10)):
+        rows = sharding.shard_documents(docs, folder, shards, version).collect()
+        last = 2 if version is None else version + 1
+        maps[last] = {r.slot: r.shard for r in sharding.read_map(spark, folder, last).collect()}
+        assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {
+            k: (len(t) + 16, zlib.crc32(t)) for k, t in texts.items()
+        }
+        assert all(maps[last][r.virtual_slot] == r.shard for r in rows)
+        loads[last] = [sum(r.size for r in rows if r.shard == k) for k in range(shards)]
+        # No shard is further from the mean than what holds no slot that could move.
+        assert max(loads[last]) - min(loads[last]) <= 0.1 * sum(loads[last]) / shards
+        for k in range(shards):
+            own = sorted(r.slot for r in rows if r.shard == k)
+            assert own == list(range(len(own)))
+    maps[1] = {r.slot: r.shard for r in sharding.read_map(spark, folder, 1).collect()}
+    assert maps[1] == {slot: slot % 8 for slot in range(sharding.SLOTS)}
+    used = {r.virtual_slot for r in sharding.with_slots(docs).collect()}
+    for old, new in ((1, 2), (2, 3)):
+        moved = {slot for slot in maps[old] if maps[old][slot] != maps[new][slot]}
+        assert moved and moved <= used and len(moved) < len(used)
+
+
+def test_a_shard_that_cannot_give_does_not_stop_the_others():
+    sizes = {0: (1000, 1), **{slot: (10, 1) for slot in range(1, 40)}}
+    chosen = sharding.rebalance({0: 0, **dict.fromkeys(range(1, 40), 1)}, sizes, 4)
+    held = Counter(chosen.values())
+    assert held == {0: 1, 1: 13, 2: 13, 3: 13}
+
+
 def test_an_edited_map_moves_slots_to_the_new_shard_only():
     sizes = {slot: (100 + slot % 7, 1) for slot in range(4096)}
     before = sharding.first_map(sizes, 40)

@@ -2,9 +2,12 @@
 
 A record is hashed to one of ``SLOTS`` slots, for ever. Which shard a slot is in says a table of
 ``SLOTS`` rows, written anew under a higher version whenever it is edited; records never move but
-with their slot. The first map is made from the bytes in each slot, the largest slot first into
-the emptiest shard, so shards have nearly equal bytes. ``rebalance`` edits a map: slots move
-to the new shards, or from full shards to empty ones, and all others stay.
+with their slot. The first version deals the slots out in turn, before anything is known of the
+records. Whenever records are placed, the bytes in each slot are summed and ``rebalance`` edits the
+map until shards have nearly equal bytes: slots move from full shards to empty ones, or to new
+shards, and all others stay. The edited map is the next version.
+
+Rows with one id and one text share a slot; rows that share only one of them need not.
 
 What reaches the driver is the sums of the slots, at most ``SLOTS`` rows for any input.
 """
@@ -62,8 +65,8 @@ def rebalance(
 ) -> dict[int, int]:
     """An edited map for ``shards`` shards, at least as many as before.
 
-    The fullest shard gives its largest slot that fits to the emptiest shard, as long as that
-    lowers the fuller of the two. Slots that need not move do not.
+    The fullest shard that can gives its largest slot that fits to the emptiest shard, as long as
+    that lowers the fuller of the two. Slots that need not move do not.
     """
     chosen, load = dict(chosen), dict.fromkeys(range(shards), 0)
     held: dict[int, set[int]] = {shard: set() for shard in load}
@@ -72,10 +75,12 @@ def rebalance(
         held[shard].add(slot)
     while True:
         low = min(load, key=lambda s: (load[s], s))
-        high = max(load, key=lambda s: (load[s], -s))
-        gap = load[high] - load[low]
-        fits = [s for s in held[high] if 0 < sizes.get(s, (0, 0))[0] < gap]
-        if not fits:
+        for high in sorted(load, key=lambda s: (-load[s], s)):
+            gap = load[high] - load[low]
+            fits = [s for s in held[high] if 0 < sizes.get(s, (0, 0))[0] < gap]
+            if fits:
+                break
+        else:
             return chosen
         half = [s for s in fits if 2 * sizes[s][0] <= gap] or fits
         slot = (max if 2 * sizes[half[0]][0] <= gap else min)(half, key=lambda s: (sizes[s][0], s))
@@ -122,17 +127,25 @@ def place(records: DataFrame, chosen: DataFrame, sizes: dict[int, tuple[int, int
     )
 
 
-def shard_documents(docs: DataFrame, folder: str, shards: int = SHARDS) -> DataFrame:
+def shard_documents(
+    docs: DataFrame, folder: str, shards: int = SHARDS, version: int | None = None
+) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, size, text_crc32, virtual_slot, shard, slot``.
 
-    Writes the map of version 1 below ``folder``. A null text counts as empty, a null id is an id
-    like any other, repeated rows share a slot and follow each other, other columns are not read.
-    Without rows the result is empty and the map deals out all slots in turn.
+    Edits the map of ``version`` below ``folder`` for these records and for ``shards`` shards, at least
+    as many as it has, and writes it as the next version; without a version, a map dealt out in turn
+    is written as version 1 first. A null text counts as empty, a null id is an id like any other,
+    repeated rows share a slot and follow each other, other columns are not read. Without rows the
+    result is empty and the map stays as it was.
     """
-    records = with_slots(docs)
+    spark, records = docs.sparkSession, with_slots(docs)
     sizes = slot_sizes(records)
-    write_map(docs.sparkSession, folder, 1, first_map(sizes, shards))
-    return place(records, read_map(docs.sparkSession, folder, 1), sizes)
+    if version is None:
+        version = 1
+        write_map(spark, folder, version, first_map({}, shards))
+    known = {r["slot"]: r["shard"] for r in read_map(spark, folder, version).collect()}
+    write_map(spark, folder, version + 1, rebalance(known, sizes, shards))
+    return place(records, read_map(spark, folder, version + 1), sizes)
 
 
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
