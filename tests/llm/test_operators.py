@@ -219,6 +219,28 @@ def test_toxicity(spark, odd, none):
     assert toxicity.scores(odd, empty, languages).where("score >= 0.5").count() == 0
 
 
+def test_texts_to_learn_from_are_bounded_in_bytes(spark):
+    rows = [(k, "x" * (10 + k % 7)) for k in range(200)] + [(900, "y" * 5_000), (901, None), (902, ""), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ids = sorted({k for k, _ in rows})
+    chosen = spark.createDataFrame([(k, k % 2, -k) for k in ids], "doc_id long, toxic int, order long")
+    size = Counter()
+    for k, text in rows:
+        size[k] += len(text or "")
+    for most in (160, 1_600, 10**6):
+        expected = set()
+        for label in (0, 1):
+            held = 0
+            for k in sorted((k for k in ids if k % 2 == label and size[k] <= most // 16), reverse=True):
+                held += size[k]
+                if held <= most:
+                    expected.add(k)
+        found = toxicity.bounded_bytes(docs, chosen, most)
+        assert found.columns == chosen.columns
+        assert {r.doc_id for r in found.collect()} == expected
+    assert toxicity.bounded_bytes(docs.where("false"), chosen).count() == 0
+
+
 def test_embeddings_of_odd_rows(spark):
     nan = float("nan")
     rows = [

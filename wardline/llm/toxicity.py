@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardline.llm import language_id
@@ -33,6 +33,8 @@ FILTER_WIDTHS = (1, 2, 3)
 FILTERS = 12
 PREFIXES = (4, 5)
 ROWS_PER_CLASS = 1_500
+# Of the texts that a label learns from, all together; one text has a sixteenth of that at most.
+BYTES_PER_CLASS = 1 << 24
 EPOCHS = 2
 CHANCE = 4.0
 BLOCK = 1 << 15
@@ -229,17 +231,36 @@ def _word_lists(languages: language_id.Model):
     return emit
 
 
+def bounded_bytes(docs: DataFrame, chosen: DataFrame, most: int = BYTES_PER_CLASS) -> DataFrame:
+    """Those rows of ``chosen``, ``doc_id, toxic, order``, whose texts have ``most`` bytes a label together.
+
+    They are the first by ``order``. An id whose texts have more than a sixteenth of the bytes is left
+    out, so that none takes the place of all others. Only sizes are compared, one row an id.
+    """
+    sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"))
+    sizes = sizes.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "order")
+    sizes = sizes.agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") <= most // 16)
+    so_far = F.sum("bytes").over(Window.partitionBy("toxic").orderBy("order", "doc_id"))
+    return sizes.withColumn("so_far", so_far).where(F.col("so_far") <= most).select(*chosen.columns)
+
+
 def fit(
-    docs: DataFrame, labels: DataFrame, languages: language_id.Model, per_class: int = ROWS_PER_CLASS
+    docs: DataFrame,
+    labels: DataFrame,
+    languages: language_id.Model,
+    per_class: int = ROWS_PER_CLASS,
+    most_bytes: int = BYTES_PER_CLASS,
 ) -> Network:
     """Learn from about ``per_class`` documents of each label of ``doc_id, toxic``.
 
+    Their texts have ``most_bytes`` bytes a label at most, which bounds what reaches the driver.
     Labels that are null are not used, nor those of documents that are missing. Without labels of
     both kinds every score is 0.
     """
     known = labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IN (0, 1)")
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = language_id.bounded_sample(known, "toxic", per_class, "doc_id", "toxic")
+    chosen = bounded_bytes(docs, chosen, most_bytes)
     # The sample is bounded, so the texts need no shuffle.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     found = rows.mapInArrow(
