@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import final_plan
-from wardline.operators.entitlements import inherited_entitlements
+from wardline.operators.entitlements import inherited_entitlements, principal_access
 from wardline.operators.grants import expand_inheritance
 from wardline.operators.joins import left_join_many
 from wardline.operators.merge import merge_upsert
@@ -117,3 +117,34 @@ def test_a_privilege_most_grants_have(spark, hot):
     expanded = expand_inheritance(grants, privilege_lookup(spark))
     assert_split(expanded)
     assert expanded.count() == ROWS + ROWS // 3
+
+
+@pytest.mark.parametrize("keep_uninherited", [True, False])
+def test_access_rows_of_all_users_with_few_lists_of_groups(spark, tmp_path, settings, keep_uninherited):
+    """Users that fit a broadcast must not all be sent to the tasks that hold the few lists."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="10m",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="10m",
+    )
+    spark.range(0, 30_000, 1, 4).selectExpr(
+        "CAST(id AS STRING) AS userId",
+        "CONCAT('u', id % 20000) AS userName",
+        "ARRAY('g0', CONCAT('g', id % 3)) AS groups",
+        "ARRAY('own') AS entitlements",
+    ).write.parquet(str(tmp_path / "users"))
+    users = spark.read.parquet(str(tmp_path / "users"))
+    groups = spark.sql("SELECT 'g1' AS displayName, ARRAY('a', 'b') AS entitlements")
+    access = principal_access(users, groups, keep_uninherited)
+    plan = final_plan(access)
+    assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan
+    # Records are dealt out over all partitions before they become several rows each.
+    assert "REPARTITION_BY_NUM" in plan and plan.index("Generate") < plan.index("REPARTITION_BY_NUM")
+    expected = {
+        (f"u{n % 20000}", group, own)
+        for n in range(30_000)
+        if keep_uninherited or n % 3 == 1
+        for group in ("g0", f"g{n % 3}")
+        for own in (["own", "a", "b"] if n % 3 == 1 else ["own"])
+    }
+    found = [tuple(row) for row in access.collect()]
+    assert len(found) == len(expected) and set(found) == expected

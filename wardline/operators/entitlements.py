@@ -69,14 +69,22 @@ def principal_access(
 
     A user without groups or without entitlements has no row. Neither has one who inherits
     nothing, unless ``keep_uninherited`` is set.
+
+    A record becomes as many rows as it has groups times entitlements. It is therefore dealt out while
+    it is still one row, to a number of tasks that is not lowered for a small input.
     """
     known = final_entitlements(users, groups, nested)
+    granted = F.col("final_entitlements")
     if not keep_uninherited:
-        known = known.filter(F.size("inherited_entitlements") > 0)
+        # Emptied here and not filtered by what is joined on: Spark would take the join for an inner
+        # one, and could send all users to the tasks that hold the few lists.
+        granted = F.filter(granted, lambda _: F.size("inherited_entitlements") > 0)
+    parts = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    record = ["userId", "userName", "groups"]
     return (
-        known.select(
-            "userName", F.explode("groups").alias("Groups"), "final_entitlements"
-        )
-        .select("userName", "Groups", F.explode("final_entitlements").alias("entitlements"))
+        known.select(*record, granted.alias("granted"))
+        .repartition(parts, *record)
+        .select("userName", F.explode("groups").alias("Groups"), "granted")
+        .select("userName", "Groups", F.explode("granted").alias("entitlements"))
         .distinct()
     )
