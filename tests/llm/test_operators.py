@@ -384,6 +384,13 @@ def test_bytes_of_odd_rows(odd, none):
     assert byte_bpe.digests(none).count() == 0
 
 
+def test_a_short_text_is_encoded_and_digested_by_one_worker(spark):
+    """A second worker after the first would hold ids and an encoder once more."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    plan = byte_bpe.digests(docs)._jdf.queryExecution().executedPlan().toString()
+    assert 0 <= plan.index("Union") < plan.index("MapInArrow")
+
+
 def test_quality(spark, odd, none):
     docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/labels.parquet")

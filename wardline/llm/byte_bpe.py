@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -39,6 +39,8 @@ PART = 1_024
 PART_OVERLAP = 64
 BATCH_IDS = 1 << 20
 
+Emitter = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str, pattern: str = public_tokenizers.PATTERN) -> tiktoken.Encoding:
@@ -198,9 +200,13 @@ def encode(
     pattern: str = public_tokenizers.PATTERN,
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
+    then: tuple[Emitter, str] | None = None,
 ) -> DataFrame:
     """``doc_id, ids`` of every row of ``docs``.
 
+    ``then``, a function of batches of these columns and the schema it gives, goes on with them where
+    they arise: a short text is encoded and worked on by one Python worker, not by one after another.
+
     A null or empty text has no ids; no rows give no rows. Ids of documents are passed on, null or
     repeated ones too; repeated rows give repeated results. Other columns, of any name, are not read. ``path`` is a rank file that
     every executor has.
@@ -209,21 +215,22 @@ def encode(
     docs = docs.select("doc_id", "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     is_long = F.coalesce(F.length("text") > chunk + overlap, F.lit(False))
-    short = docs.where(~is_long).mapInArrow(
-        _encoded(path, pattern, "doc_id"), f"doc_id {id_type}, ids array<int>"
-    )
+    encoded, schema = _encoded(path, pattern, "doc_id"), f"doc_id {id_type}, ids array<int>"
+    go_on, given = then or ((lambda batches: batches), schema)
+    short = docs.where(~is_long).mapInArrow(lambda batches: go_on(encoded(batches)), given)
     # Equal texts have equal ids, so a text stands for itself.
     long = docs.where(is_long).withColumn("rid", F.sha2("text", 256))
     ids = _long_texts(long.select("rid", "text"), path, pattern, chunk, overlap)
     names = long.select("doc_id", "rid")
-    return short.unionByName(names.join(ids, "rid").select("doc_id", "ids"))
+    found = names.join(ids, "rid").select("doc_id", "ids")
+    return short.unionByName(found.mapInArrow(go_on, given) if then else found)
 
 
-def decoded(path: str):
+def decoded(path: str, pattern: str = public_tokenizers.PATTERN) -> Emitter:
     """From ``doc_id, ids`` to the bytes, and to digests of both."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding = tokenizer(path)
+        encoding = tokenizer(path, pattern)  # the one that encodes, if this worker has it
         for batch in batches:
             counts, marks, texts = [], [], []
             for ids in batch.column("ids"):
@@ -263,12 +270,9 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     not read; no rows give no rows.
     """
     path = path or public_tokenizers.path(RANKS)
-    tokens = encode(docs, path)
-    id_type = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.mapInArrow(
-        decoded(path),
-        f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string",
-    )
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return encode(docs, path, then=(decoded(path), schema))
 
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
