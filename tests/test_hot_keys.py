@@ -11,6 +11,8 @@ from wardline.operators.grants import expand_inheritance
 from wardline.operators.joins import left_join_many
 from wardline.operators.merge import merge_upsert
 from wardline.operators.securables import enumerate_securables
+from wardline.plans import principals
+from wardline.sinks.tables import publish_version
 from wardline.sources.lookup import privilege_lookup
 
 ROWS = 240_000
@@ -148,3 +150,39 @@ def test_access_rows_of_all_users_with_few_lists_of_groups(spark, tmp_path, sett
     }
     found = [tuple(row) for row in access.collect()]
     assert len(found) == len(expected) and set(found) == expected
+
+
+@pytest.mark.parametrize("keep_uninherited", [True, False])
+def test_the_access_job_with_few_lists_of_groups(spark, tmp_path, settings, monkeypatch, keep_uninherited):
+    """The users that the job has landed fit a broadcast, and must not all be sent to one task either."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="10m",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="10m",
+    )
+    published = []
+
+    def publish(access, table, folder):
+        published.append(access)
+        return publish_version(access, table, folder)
+
+    monkeypatch.setattr(principals, "publish_version", publish)
+    users = spark.range(0, 30_000, 1, 4).selectExpr(
+        """CONCAT('{"id": "', id, '", "userName": "u', id, '", "groups": [{"display": "g', id % 3,
+           '"}], "entitlements": [{"value": "own"}]}') AS payload"""
+    )
+    groups = spark.createDataFrame(
+        [('{"displayName": "g1", "entitlements": [{"value": "a"}]}',)], "payload string"
+    )
+    table = f"few_lists_{keep_uninherited}"
+    principals.refresh_access_table(spark, table, str(tmp_path), users, groups, keep_uninherited)
+    plan = final_plan(published[0])
+    assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan
+    assert "REPARTITION_BY_NUM" in plan and plan.index("Generate") < plan.index("REPARTITION_BY_NUM")
+    expected = {
+        (f"u{n}", f"g{n % 3}", own)
+        for n in range(30_000)
+        if keep_uninherited or n % 3 == 1
+        for own in (["own", "a"] if n % 3 == 1 else ["own"])
+    }
+    found = [tuple(row) for row in spark.read.table(table).collect()]
+    assert len(found) == len(expected) and set(found) == expected
