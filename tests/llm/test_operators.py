@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import random
 import re
@@ -169,6 +170,43 @@ def test_fingerprints_estimate_weighted_similarity(spark):
     assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.16
 
 
+def test_fingerprints_do_not_depend_on_ranges(spark, odd, monkeypatch):
+    """Among the ids are the largest and the smallest numbers, which no limit of a range may overflow."""
+    ends = [(n, f"end {n}") for n in (2**63 - 1, 2**63 - 2, -(2**63), 1 - 2**63)]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id < 40").select("doc_id", "text")
+    docs = docs.union(odd.select("doc_id", "text")).union(spark.createDataFrame(ends, docs.schema))
+    whole = sorted((tuple(r) for r in fingerprints.fingerprints(docs).collect()), key=repr)
+    monkeypatch.setattr(fingerprints, "ROWS_PER_RANGE", 1)
+    parts = fingerprints.in_ranges(docs)[0].agg(F.countDistinct("part")).first()[0]
+    assert parts > 40
+    assert sorted((tuple(r) for r in fingerprints.fingerprints(docs).collect()), key=repr) == whole
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 8, 100])
+def test_limits_below_a_number(spark, n):
+    cuts = sorted(random.Random(n).sample(range(-300, 300), n))
+    ids = spark.range(-310, 310).select("id", fingerprints.below([float(c) for c in cuts], F.col("id")))
+    assert all(found == bisect.bisect_right(cuts, value) for value, found in ids.collect())
+    nothing = ids.select(fingerprints.below([float(c) for c in cuts], F.lit(None).cast("long")))
+    assert nothing.first()[0] == 0
+
+
+def test_ranges_do_not_multiply_what_the_driver_plans(spark, tmp_path, monkeypatch):
+    """Spark writes out what a range is made of, down to the files, and that may not grow as a power."""
+    monkeypatch.setattr(fingerprints, "ROWS_PER_RANGE", 1)
+    pruning = spark._jvm.org.apache.spark.sql.execution.dynamicpruning
+    pruning = getattr(getattr(pruning, "PartitionPruning$"), "MODULE$")
+
+    def written_out(n):
+        spark.range(n).selectExpr("id AS doc_id", "'a b' AS text").write.parquet(f"{tmp_path}/{n}")
+        rows = fingerprints.in_ranges(spark.read.parquet(f"{tmp_path}/{n}"))[0]
+        plan = rows._jdf.queryExecution().optimizedPlan()
+        part = plan.output().apply(rows.columns.index("part"))
+        return len(pruning.findExpressionAndTrackLineageDown(part, plan).get()._1().toString())
+
+    assert written_out(128) < 10 * written_out(16)
+
+
 def test_mixing_odd_rows(odd, none):
     rows = mixing.mix_sources(odd).collect()
     assert len(rows) == odd.count()

@@ -42,6 +42,23 @@ def arrival(bits: Column, size: Column) -> Column:
     return F.when(size == 0.0, F.log(c) - r * (1.0 - b)).otherwise(many)
 
 
+def below(cuts: list[float], value: Column) -> Column:
+    """How many of the sorted ``cuts`` are not above a number, by binary search; 0 for a null.
+
+    One expression, however many cuts there are. A column for each step of the search would stand
+    three times in the next, and Spark's planner writes them out.
+    """
+    if not cuts:
+        return F.lit(0)
+    table = F.split(F.lit(",".join(map(repr, cuts))), ",").cast("array<double>")
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(cuts).bit_length()))])
+
+    def further(found: Column, step: Column) -> Column:
+        return F.when(F.try_element_at(table, found + step) <= value, found + step).otherwise(found)
+
+    return F.coalesce(F.aggregate(steps, F.lit(0), further), F.lit(0))
+
+
 def in_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id, text, part, rank``: rows in about equal ranges of the id, numbered from 1.
 
@@ -54,15 +71,7 @@ def in_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n = rows.select(F.count(F.lit(1))).first()[0]
     k = min(MOST_RANGES, max(1, math.ceil(n / ROWS_PER_RANGE)))
     cuts = sorted(set(rows.approxQuantile("doc_id", [i / k for i in range(1, k)], 0.2 / k))) if k > 1 else []
-    rows = rows.withColumn("part", F.lit(0))
-    if cuts:
-        table = F.array(*[F.lit(int(c)) for c in cuts])
-        # Binary search for the number of limits that are not above the id, a step at a time.
-        for bit in reversed(range(len(cuts).bit_length())):
-            further = F.col("part") + (1 << bit)
-            below = F.try_element_at(table, further) <= F.col("doc_id")
-            rows = rows.withColumn("part", F.when(below, further).otherwise(F.col("part")))
-    last = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.col("part"))
+    last = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(below(cuts, F.col("doc_id")))
     rows = rows.withColumn("part", last)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text"))
     heads = rows.groupBy(F.col("part").alias("head")).agg(first.alias("first"))
